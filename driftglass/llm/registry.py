@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftglass.llm import bitplanes, packing
+from driftglass.llm import bitplanes, jaccard, packing
 from driftglass.llm.shared import read_table
 
 
@@ -10,9 +10,13 @@ def op1_pattern_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op8_bit_planes(spark, sf_dir):
     return bitplanes.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op8_bit_planes)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op3_ngram_jaccard_join, op8_bit_planes)}
 ORACLES: dict[str, str] = {}
