@@ -143,12 +143,12 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
     store, base = _open(folder)
     name, writer, out = f"part-{part:06d}-{uuid.uuid4().hex}.planes", None, None
     for b in batches:
-        for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for d, own in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1).to_pylist()), strict=True):
             if writer is None:
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/{name}")
                 writer = PlaneWriter(out, block_ids, bits)
-            writer.add(d, enc.encode(text) + end)
+            writer.add(d, own + end)
     if writer is not None:
         n = writer.close()
         out.close()

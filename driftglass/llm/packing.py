@@ -39,8 +39,8 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: in
     enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
     for b in batches:
         doc, piece, start, length, crc, raw = [], [], [], [], [], []
-        for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            blob = enc.encode(text) + end
+        for d, own in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1).to_pylist()), strict=True):
+            blob = own + end
             n = len(blob) // 4
             at = 0
             for k in range(-(-n // capacity)):

@@ -10,18 +10,31 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-import numpy as np
 
 #: The pre-token pattern of byte-level BPE (fixed value of that tokenizer family).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Characters looked at together.
+SEGMENT = 500_000
+SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte to letter of byte-level BPE: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
 
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, table_size: int = 300_000):
+    def __init__(self, path: str, table_size: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer
@@ -33,27 +46,59 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_pieces = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
+        self.letters = byte_letters()
         self.table: dict[str, bytes] = {}
         self.table_size = table_size
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Enter pre-tokens into the table: the library's model on their bytes, written in its byte alphabet."""
+        tokenize, letters, table = self.tokenizer.model.tokenize, self.letters, self.table
+        for piece in pieces:
+            table[piece] = array("I", [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    def _segments(self, text: str) -> Iterator[str]:
+        """A long text in parts: a single space between other characters always begins a pre-token."""
+        at = 0
+        while len(text) - at > SEGMENT and (m := SAFE_CUT.search(text, at + SEGMENT)):
+            yield text[at : m.start()]
+            at = m.start()
+        yield text[at:]
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of whole texts, in order; null and empty texts have none."""
+        if not self.by_pieces:
+            for text in texts:
+                yield self._ids([text])[0] if text else b""
+            return
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if text and len(text) > SEGMENT:
+                yield from self._take(held)
+                held, size = [], 0
+                yield b"".join(x for part in self._segments(text) for x in self._take([self.find(part)]))
+                continue
+            held.append(self.find(text) if text else [])
+            size += len(text or "")
+            if size > SEGMENT:
+                yield from self._take(held)
+                held, size = [], 0
+        yield from self._take(held)
+
+    def _take(self, held: list[list[str]]) -> Iterator[bytes]:
+        new = set().union(*held).difference(self.table)
+        if len(self.table) + len(new) > self.table_size:
+            self.table.clear()
+            new = set().union(*held)
+        self._encode(list(new))
+        for pieces in held:
+            yield b"".join(map(self.table.__getitem__, pieces))
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of one whole text; null and empty texts have none."""
-        if not text:
-            return b""
-        if not self.by_pieces:
-            return self._encode([text])[0]
-        pieces = self.find(text)
-        try:
-            return b"".join(map(self.table.__getitem__, pieces))
-        except KeyError:
-            if len(self.table) > self.table_size:
-                self.table.clear()
-            new = list(set(pieces).difference(self.table))
-            self.table.update(zip(new, self._encode(new), strict=True))
-            return b"".join(map(self.table.__getitem__, pieces))
+        return next(self.encode_many([text]))
 
 
 @lru_cache(maxsize=2)

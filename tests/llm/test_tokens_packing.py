@@ -26,6 +26,8 @@ def test_encoder_equals_library(plain):
     for _ in range(3000):
         text = "".join(rng.choices(alphabet, k=rng.randint(0, 30)))
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == plain(text), repr(text)
+    long = "".join(rng.choices(alphabet, k=1_200_000))
+    assert np.frombuffer(enc.encode(long), "<u4").tolist() == plain(long)
 
 
 def docs_of(spark, rows):
