@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftglass.llm import bitplanes, jaccard, packing
+from driftglass.llm import bitplanes, decontaminate, jaccard, oracles, packing, quality
 from driftglass.llm.shared import read_table
 
 
@@ -10,13 +10,21 @@ def op1_pattern_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_line_quality(spark, sf_dir):
+    return quality.judge(read_table(spark, sf_dir, "documents")).select(quality.OP2_COLUMNS)
+
+
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("items")
+
+
 def op8_bit_planes(spark, sf_dir):
     return bitplanes.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op3_ngram_jaccard_join, op8_bit_planes)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_line_quality, op3_ngram_jaccard_join, op5_decontamination, op8_bit_planes)}
+ORACLES: dict[str, str] = {"op2_line_quality": oracles.OP2, "op5_decontamination": oracles.OP5}
