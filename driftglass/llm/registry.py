@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftglass.llm import bitplanes, decontaminate, jaccard, oracles, packing, quality
+from driftglass.llm import bitplanes, decontaminate, jaccard, oracles, packing, quality, suffix
 from driftglass.llm.shared import read_table
 
 
@@ -26,5 +26,9 @@ def op8_bit_planes(spark, sf_dir):
     return bitplanes.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_line_quality, op3_ngram_jaccard_join, op5_decontamination, op8_bit_planes)}
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_line_quality, op3_ngram_jaccard_join, op5_decontamination, op8_bit_planes, op9_suffix_dedup)}
 ORACLES: dict[str, str] = {"op2_line_quality": oracles.OP2, "op5_decontamination": oracles.OP5}
