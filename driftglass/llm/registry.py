@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftglass.llm import bitplanes, decontaminate, jaccard, language, neighbours, oracles, packing, quality, suffix, toxicity
+from driftglass.llm import bitplanes, decontaminate, jaccard, katz, language, neighbours, oracles, packing, quality, suffix, toxicity
 from driftglass.llm.shared import read_table
 
 
@@ -26,6 +26,10 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op6_katz_lm(spark, sf_dir):
+    return katz.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_neighbours(spark, sf_dir):
     return neighbours.predict(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ QUERIES = {
         op3_ngram_jaccard_join,
         op4_toxicity,
         op5_decontamination,
+        op6_katz_lm,
         op7_quality_neighbours,
         op8_bit_planes,
         op9_suffix_dedup,
