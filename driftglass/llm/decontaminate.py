@@ -102,3 +102,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         "items",
     )
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, as they are (equal texts share their fate)."""
+    spark = docs.sparkSession
+    name = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    # a digest as the id: whether a row goes depends on its text alone
+    marked = contamination(docs.select(name.alias("doc_id"), "text"), benchmark, **options)
+    bad = keep(marked.where("contaminated").select(F.col("doc_id").alias("_name")).distinct(), f"{shared_dir(spark)}/contaminated")
+    return docs.withColumn("_name", name).join(small(bad, options.get("bound", 200_000)), "_name", "left_anti").select(*docs.columns)

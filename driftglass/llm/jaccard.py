@@ -69,6 +69,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             block=pa.array([block.block] * len(sets)),
             nth=pa.array(range(len(sets)), pa.int32()),
             doc_id=pa.array(block.docs, pa.int64()),
+            mark=pa.array(block.folds, pa.int64()),
             n=pa.array([len(s) for s in sets], pa.int64()),
             name=pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
         )
@@ -262,19 +263,42 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, lan
     return connected_components(links).select(F.col("v").alias("name"), F.col("label").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, group: int = 1000) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    folder, buckets = shared_dir(spark), bucket_count(docs)
-    blocks = keep(word_blocks(docs), f"{folder}/blocks")
-    rows = keep(blocks.mapInArrow(partial(_sets, words=words), "block string, nth int, doc_id long, n long, name string"), f"{folder}/rows")
+def set_roots(docs: DataFrame, words: int, percent: int, group: int, folder: str, mark=None) -> tuple[DataFrame, DataFrame]:
+    """Stored (block, nth, doc_id, mark, n, name) per row, with ``mark`` an integer expression to carry along, and (name, root) for every set with a link."""
+    buckets = bucket_count(docs)
+    blocks = keep(word_blocks(docs, mark), f"{folder}/blocks")
+    rows = keep(blocks.mapInArrow(partial(_sets, words=words), "block string, nth int, doc_id long, mark long, n long, name string"), f"{folder}/rows")
     firsts = rows.where("name is not null").groupBy("name").agg(F.min(F.struct("block", "nth")).alias("at")).groupBy("at.block").agg(F.sort_array(F.collect_list("at.nth")).alias("firsts"))
     chosen = blocks.join(firsts, "block")
     asked = chosen.mapInArrow(partial(_ask, words=words, buckets=buckets), "bucket int, block string, low binary, high binary, often binary")
     answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block string, bucket int, grades binary")
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "grades")).alias("answers"))
     sets = chosen.join(told, "block").mapInArrow(partial(_prefixes, words=words, buckets=buckets, percent=percent), "name string, n long, shingles binary, marks array<bigint>")
-    roots = link_sets(keep(sets, f"{folder}/sets"), percent, folder, group)
+    return rows, link_sets(keep(sets, f"{folder}/sets"), percent, folder, group)
+
+
+def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, group: int = 1000) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    rows, roots = set_roots(docs, words, percent, group, shared_dir(docs.sparkSession))
     named = rows.join(roots, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "name").alias("root"))
     least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80, group: int = 1000) -> DataFrame:
+    """One row of ``docs`` per group: the least doc_id (null last), then the least text digest.
+
+    Rows whose texts have no words are in no group and stay. Equal rows are one row.
+    """
+    folder = shared_dir(docs.sparkSession)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # a row is named by its doc_id and a digest of its text, so rows with one doc_id are told apart
+    mark = F.xxhash64(text, F.col("doc_id").isNull())
+    rows, roots = set_roots(docs, words, percent, group, folder, mark)
+    named = rows.where("name is not null").join(roots, "name", "left").select("doc_id", "mark", F.coalesce("root", "name").alias("root"))
+    best = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("one"))
+    best = keep(best.select(F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.mark").alias("_mark")), f"{folder}/best")
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_mark": mark})
+    inked = text.rlike(r"[^\x20\x09-\x0D]")
+    stay = keyed.where(inked).join(best, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"])
+    return stay.select(*docs.columns).unionByName(docs.where(~inked))

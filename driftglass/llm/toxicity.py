@@ -138,3 +138,13 @@ def predict(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> DataFr
     model = train(docs, labels, learns(5, 0), per_class=per_class)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_remainder("doc_id", 5) == 0).alias("held_out"), "text")
     return score_documents(rows, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _reject(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield b.filter(pa.array([model.score(t.as_py()) < 0.5 for t in b.column(at)], pa.bool_()))
+
+
+def reject(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't predict toxic, as they are."""
+    return docs.mapInArrow(partial(_reject, model=model, at=docs.columns.index("text")), docs.schema)
