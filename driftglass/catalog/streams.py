@@ -29,7 +29,8 @@ def query(sql: str | None = None):
 def feed(spark, sf_dir, folder, files: int = 3):
     """The states fixture as a folder of files in snapshot order, and a stream that takes one file a batch."""
     s = states(spark, sf_dir).where("snap_epoch is not null")
-    cuts = [float("-inf"), *s.approxQuantile("snap_epoch", [k / files for k in range(1, files)], 0.01), float("inf")]
+    inner = s.approxQuantile("snap_epoch", [k / files for k in range(1, files)], 0.01) if files > 1 else []
+    cuts = [float("-inf"), *inner, float("inf")]
     for a, b in zip(cuts, cuts[1:], strict=False):  # one after the other: the source takes files by age
         s.where((F.col("snap_epoch") > a) & (F.col("snap_epoch") <= b)).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
     schema = spark.read.parquet(f"{folder}/feed").schema
@@ -82,13 +83,13 @@ def stream_latest_state(spark, sf_dir):
 @query(f"""WITH a AS (SELECT DISTINCT icao24, time_position AS t FROM states WHERE on_ground = FALSE AND time_position IS NOT NULL),
   n AS (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > {GAP} THEN 1 ELSE 0 END AS b FROM a WINDOW w AS (PARTITION BY icao24 ORDER BY t)),
   g AS (SELECT icao24, t, sum(b) OVER (PARTITION BY icao24 ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM n)
-  SELECT icao24, min(t) AS seg_start, count(*) AS n_points FROM g GROUP BY icao24, k HAVING max(t) + {GAP} + 1 <= (SELECT max(t) FROM a) - 3600""")
+  SELECT icao24, min(t) AS seg_start, count(*) AS n_points FROM g GROUP BY icao24, k HAVING max(t) + {GAP} <= (SELECT max(t) FROM a) - 3600""")
 def stream_sessions(spark, sf_dir):
     """Closed native sessions of the airborne reports, the last ones of each object are still open."""
     folder = work_folder(spark)
     s = feed(spark, sf_dir, folder).where("on_ground = false and time_position is not null").withColumn("ts", F.timestamp_seconds("time_position"))
     once = native.first_reports(s, "ts", "1 hour", ["icao24", "time_position"])
-    closed = once.groupBy("icao24", F.session_window("ts", f"{GAP + 1} seconds").alias("s")).agg(F.count("*").alias("n_points"))
+    closed = once.groupBy("icao24", F.session_window("ts", f"{GAP} seconds").alias("s")).agg(F.count("*").alias("n_points"))
     return collected(closed.select("icao24", F.unix_timestamp("s.start").alias("seg_start"), "n_points"), folder).select("icao24", "seg_start", "n_points")
 
 

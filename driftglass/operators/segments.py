@@ -65,8 +65,8 @@ def trajectory(positions: DataFrame, gap: float = 300, fastest: float = 340.0, t
 
 
 def session_counts(df: DataFrame, key: str, ts: Column, gap_s: int) -> DataFrame:
-    """Native sessions with the same rule for whole seconds: a session ends after its gap, so the gap is one longer."""
-    return df.groupBy(key, F.session_window(ts, f"{gap_s + 1} seconds").alias("_s")).agg(F.count("*").alias("n_points"), F.unix_timestamp("_s.start").alias("seg_start")).drop("_s")
+    """Native sessions: they merge where one ends as the other begins, so a gap of exactly ``gap_s`` does not split."""
+    return df.groupBy(key, F.session_window(ts, f"{gap_s} seconds").alias("_s")).agg(F.count("*").alias("n_points"), F.unix_timestamp("_s.start").alias("seg_start")).drop("_s")
 
 
 def last_runs(df: DataFrame, key: str = "icao24", t: str = "time_position", gap: float = 30) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 FEATURES = ["velocity", "track_sin", "track_cos", "baro_altitude", "vertical_rate", "dr_north_m", "dr_east_m"]
 
@@ -45,7 +46,7 @@ def as_table_function(df: DataFrame, model, columns: list[str]) -> DataFrame:
             got = model.predict(frame[columns])
             yield frame.assign(north_m=got[:, 0], east_m=got[:, 1])
 
-    return df.mapInPandas(apply, df.schema.add("north_m", "double").add("east_m", "double"))
+    return df.mapInPandas(apply, StructType([*df.schema.fields]).add("north_m", "double").add("east_m", "double"))
 
 
 class Registry:

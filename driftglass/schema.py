@@ -34,10 +34,7 @@ LATEST_COLUMNS = [*HISTORY_COLUMNS, "origin_country", "on_ground", "geo_altitude
 
 
 def wire_schema() -> StructType:
-    out = StructType()
-    for name, kind, _ in FIELDS:
-        out = out.add(name, kind)
-    return out
+    return StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind, _ in FIELDS))
 
 
 def clean_callsign(c: Column) -> Column:

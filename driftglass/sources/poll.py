@@ -107,11 +107,12 @@ class SnapshotReader(SimpleDataSourceStreamReader):
         return self.readBetweenOffsets(start, end), end
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        rows = []
         for name in self._names()[start["files"] : end["files"]]:
             with open(os.path.join(self.folder, name), encoding="utf-8") as f:
                 body = json.load(f)
-            for vector in body.get("states") or []:
-                yield ([None if v is None else v if isinstance(v, str) else json.dumps(v) for v in vector], body.get("time"))
+            rows += [([None if v is None else v if isinstance(v, str) else json.dumps(v) for v in vector], body.get("time")) for vector in body.get("states") or []]
+        return iter(rows)  # Spark copies the iterator
 
     def commit(self, end: dict) -> None:
         return None

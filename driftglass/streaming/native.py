@@ -11,10 +11,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def sessions(df: DataFrame, ts: str, key: str, gap_s: int, delay: str) -> DataFrame:
-    """Gap sessions of whole-second times; a gap of exactly ``gap_s`` does not split."""
+    """Gap sessions; a gap of exactly ``gap_s`` does not split."""
     return (
         df.withWatermark(ts, delay)
-        .groupBy(key, F.session_window(ts, f"{gap_s + 1} seconds").alias("s"))
+        .groupBy(key, F.session_window(ts, f"{gap_s} seconds").alias("s"))
         .agg(F.count("*").alias("n_points"))
         .select(key, F.unix_timestamp("s.start").alias("seg_start"), "n_points")
     )
