@@ -331,7 +331,7 @@ def cadence(spark, sf_dir):
     return live.cadence(states(spark, sf_dir), "snap_epoch")
 
 
-@query(f"WITH {_LIVE} SELECT icao24, greatest(0, {AS_OF} - snap_epoch) AS since_s, greatest(0.0, 600.0 - greatest(0, {AS_OF} - snap_epoch)) AS next_s, 600.0 - greatest(0, {AS_OF} - snap_epoch) <= 0 AS due FROM live")
+@query(f"WITH {_LIVE} SELECT icao24, greatest(0, {AS_OF} - snap_epoch) AS since_s, CAST(greatest(0.0, 600.0 - greatest(0, {AS_OF} - snap_epoch)) AS DOUBLE) AS next_s, 600.0 - greatest(0, {AS_OF} - snap_epoch) <= 0 AS due FROM live")
 def data_age(spark, sf_dir):
     return longs(live.ages(latest(spark, sf_dir), F.col("snap_epoch"), F.lit(AS_OF), 600.0), "since_s").select("icao24", "since_s", F.col("next_s").cast("double").alias("next_s"), "due")
 
@@ -375,8 +375,8 @@ def altitude_band(spark, sf_dir):
 # --- samples and evaluation ------------------------------------------------------------------------------------------
 
 
-@query("""SELECT segment_id, time_position, round(sin(radians(true_track)), 6) AS track_sin, round(cos(radians(true_track)), 6) AS track_cos, round(velocity * next_dt_s * cos(radians(true_track)), 3) AS dr_north_m,
-  round(velocity * next_dt_s * sin(radians(true_track)), 3) AS dr_east_m, round((next_latitude - latitude) * 111320.0, 3) AS y_north_m, round((next_longitude - longitude) * 111320.0 * cos(radians(latitude)), 3) AS y_east_m
+@query("""SELECT segment_id, time_position, round(sin(radians(true_track)), 6) + 0.0 AS track_sin, round(cos(radians(true_track)), 6) + 0.0 AS track_cos, round(velocity * next_dt_s * cos(radians(true_track)), 3) + 0.0 AS dr_north_m,
+  round(velocity * next_dt_s * sin(radians(true_track)), 3) + 0.0 AS dr_east_m, round((next_latitude - latitude) * 111320.0, 3) + 0.0 AS y_north_m, round((next_longitude - longitude) * 111320.0 * cos(radians(latitude)), 3) + 0.0 AS y_east_m
   FROM traj WHERE next_latitude IS NOT NULL AND next_longitude IS NOT NULL AND next_dt_s BETWEEN 1 AND 21600 AND velocity IS NOT NULL AND true_track IS NOT NULL""")
 def next_report_features(spark, sf_dir):
     rows = samples.next_report(traj(spark, sf_dir), 1, GAP)
