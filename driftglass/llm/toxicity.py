@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftglass.llm.sample import labelled_sample, prior_shift
-from driftglass.llm.shared import batch, crc_remainder
+from driftglass.llm.shared import batch, crc_remainder, keep, shared_dir
 
 ORDERS, BITS, PIECE = (3, 4, 5), 18, 1 << 18
 
@@ -71,24 +71,43 @@ def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield batch(ids=pa.array([features(t.as_py()).tobytes() for t in b.column(0)], pa.binary()), label=b.column(1))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], shift: float = 0.0, strength: float = 1.0, least: int = 3, least_ratio: float = 4.0, deviations: float = 4.0, steps: int = 120) -> Model:
-    """Log-count ratios and a logistic regression with non-negative weights on the n-grams that stand for toxic texts.
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    for b in batches:
+        for ids, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            counts[v][np.frombuffer(ids, np.int32)] += 1
+    there = np.flatnonzero(counts.sum(0))
+    yield batch(id=pa.array(there.astype(np.int32)), c0=pa.array(counts[0][there]), c1=pa.array(counts[1][there]))
+
+
+def telling_grams(features: DataFrame, n0: int, n1: int, least: int = 3, least_ratio: float = 4.0, deviations: float = 4.0) -> np.ndarray:
+    """Log-count ratios, 0 except for the n-grams that stand for toxic texts.
 
     Those are in at least ``least`` sample documents, with a log ratio of ``least_ratio`` or more that is ``deviations``
     standard errors from none. Weaker n-grams, and those of other texts, would let the length of a text drown a few words.
     """
+    counts = features.select("ids", "label").mapInArrow(_count, "id int, c0 long, c1 long").groupBy("id").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    ratio = F.ln((F.col("c1") + 0.5) / (n1 + 1)) - F.ln((F.col("c0") + 0.5) / (n0 + 1))
+    error = F.sqrt(1 / (F.col("c1") + 0.5) + 1 / (F.col("c0") + 0.5))
+    found = counts.withColumn("ratio", ratio).where((F.col("c0") + F.col("c1") >= least) & (F.col("ratio") >= least_ratio) & (F.col("ratio") >= deviations * error))
+    out = np.zeros(1 << BITS)
+    for r in found.select("id", "ratio").collect():  # at most 2^bits rows
+        out[r.id] = r.ratio
+    return out
+
+
+def _keep_telling(batches: Iterator[pa.RecordBatch], telling: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        kept = [(x := np.frombuffer(ids, np.int32))[telling[x]].tobytes() for ids in b.column(0).to_pylist()]
+        yield batch(ids=pa.array(kept, pa.binary()), label=b.column(1))
+
+
+def fit(rows: list[tuple[np.ndarray, int]], ratio: np.ndarray, shift: float = 0.0, strength: float = 1.0, steps: int = 120) -> Model:
+    """Logistic regression with non-negative weights on the presence of n-grams times their ratios."""
     y = np.array([v for _, v in rows], float)
     size = 1 << BITS
-    counts = [np.zeros(size), np.zeros(size)]
-    for ids, v in rows:
-        counts[v][ids] += 1
-    ratio = np.log((counts[1] + 0.5) / (y.sum() + 1)) - np.log((counts[0] + 0.5) / (len(y) - y.sum() + 1))
-    error = np.sqrt(1 / (counts[1] + 0.5) + 1 / (counts[0] + 0.5))
-    use = (counts[0] + counts[1] >= least) & (ratio >= least_ratio) & (ratio >= deviations * error)
-    ratio[~use] = 0
-    flat = np.concatenate([ids[use[ids]] for ids, _ in rows] or [np.zeros(0, np.int32)])
-    ends = np.cumsum([int(use[ids].sum()) for ids, _ in rows])
-    owner = np.repeat(np.arange(len(rows)), np.diff(np.concatenate([[0], ends])))
+    flat = np.concatenate([ids for ids, _ in rows] or [np.zeros(0, np.int32)])
+    owner = np.repeat(np.arange(len(rows)), [len(ids) for ids, _ in rows])
     value = ratio[flat]
     # full-batch Adam on the regularised log loss
     w, b = np.zeros(size), 0.0
@@ -105,15 +124,17 @@ def fit(rows: list[tuple[np.ndarray, int]], shift: float = 0.0, strength: float
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", per_class: int = 4000) -> Model:
-    """Fit on a bounded sample; its n-gram sets (a few kilobytes a document) come to the driver."""
+    """Fit on a bounded sample. Only telling n-grams of its documents come to the driver, a few hundred bytes each."""
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
-    rows = [(np.frombuffer(r.ids, np.int32), r.label) for r in sample.mapInArrow(_collect_features, "ids binary, label int").collect()]
-    n1 = sum(v for _, v in rows)
-    n0 = len(rows) - n1
+    features = keep(sample.mapInArrow(_collect_features, "ids binary, label int"), f"{shared_dir(docs.sparkSession)}/features")
+    n = {r["label"]: r["count"] for r in features.groupBy("label").count().collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         share = totals.get(1, 0) / max(1, sum(totals.values()))
         return Model(np.zeros(1 << BITS, np.float32), math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    return fit(rows, prior_shift(totals, n0, n1))
+    ratio = telling_grams(features, n0, n1)
+    rows = features.mapInArrow(partial(_keep_telling, telling=ratio > 0), "ids binary, label int").collect()
+    return fit([(np.frombuffer(r.ids, np.int32), r.label) for r in rows], ratio, prior_shift(totals, n0, n1))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
