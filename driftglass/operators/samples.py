@@ -93,6 +93,11 @@ def group_split(df: DataFrame, group: str, train_pct: int = 80, seed: int = 42)
     return df.withColumn("is_train", F.pmod(F.xxhash64(group, F.lit(seed)), F.lit(100)) < train_pct)
 
 
+def group_overlap(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
+    """Groups on both sides of a split; 0 for a sound one."""
+    return train.select(group).intersect(test.select(group)).agg(F.count("*").alias("overlap"))
+
+
 def seeded_sample(df: DataFrame, keys: list[str], most: int, seed: int = 42) -> DataFrame:
     """At most ``most`` rows, the same for every run, in key order."""
     return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(most).orderBy(*keys)

@@ -37,6 +37,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def register_views(spark: SparkSession, gold: str, names: tuple[str, ...] = ("trajectory", "aircraft_daily", "traffic_hourly")) -> list[str]:
+    """Temp views of the gold tables that exist, for SQL; a filter on event_date prunes partitions."""
+    found = [n for n in names if Store(spark).exists(f"{gold}/{n}")]
+    for n in found:
+        read_table(spark, f"{gold}/{n}").createOrReplaceTempView(n)
+    return found
+
+
 def read_date(spark: SparkSession, path: str, day: str) -> DataFrame:
     """One date's folder; a missing one is an error, not an empty table."""
     strict_date(day)

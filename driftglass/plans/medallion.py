@@ -81,3 +81,32 @@ def run_dates(step, days: list[str]) -> tuple[list[dict], int]:
             out.append({"status": "failed", "date": day, "error": f"{type(e).__name__}: {e}"})
             code = 1
     return out, code
+
+
+def run_daily(spark: SparkSession, bronze: str, silver: str, gold: str, markers: str, today: str, version: str, gap: float = 300, sort: tuple[str, ...] = ("icao24", "timestamp")) -> dict[str, list[dict]]:
+    """Everything that is due, one writer: refine pending dates, build the gold dates that are ready, compact the rest.
+
+    What to do comes from the markers, so a run that was missed or broke off is caught up by the next one.
+    """
+    from driftglass.plans import planner
+
+    def table(days: set[str]) -> DataFrame:
+        return spark.createDataFrame([(d,) for d in sorted(days)], "dt string")
+
+    def done(stage: str) -> set[str]:
+        return lake.completed_dates(spark, f"{markers}/{stage}")
+
+    raw = table(lake.dates_under(spark, bronze))
+    due = [r.dt for r in planner.pending(raw, table(done("silver")), today).orderBy("dt").collect()]
+    out = {"silver": run_dates(lambda d: silver_date(spark, bronze, silver, f"{markers}/silver", d, version), due)[0]}
+    ready = planner.gold_plan(raw, table(done("silver")), table(done("gold")), today).where("status = 'ready'")
+    out["gold"] = run_dates(lambda d: gold_date(spark, silver, gold, f"{markers}/gold", d, version, gap), [r.dt for r in ready.orderBy("dt").collect()])[0]
+
+    def merge(day: str) -> dict:
+        status = lake.compact(spark, bronze, day, list(sort))
+        lake.write_marker(spark, f"{markers}/merge", day, 0, bronze, version)
+        return {"status": status, "date": day}
+
+    due = planner.merge_pending(raw, table(done("silver")), table(done("merge")), today)
+    out["merge"] = run_dates(merge, [r.dt for r in due.orderBy("dt").collect()])[0]
+    return out

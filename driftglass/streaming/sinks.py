@@ -40,10 +40,11 @@ class HotSink:
     has one row per object; the history keeps what ``keep_s`` allows.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, snapshot: str = "timestamp", key: str = "icao24", event: str = "time_position", ties: list[str] | None = None, keep_s: int | None = None, notify: Callable[[int], None] = lambda batch: None, waits=BACKOFF_S):
+    def __init__(self, spark: SparkSession, folder: str, snapshot: str = "timestamp", key: str = "icao24", event: str = "time_position", ties: list[str] | None = None, keep_s: int | None = None, notify: Callable[[int], None] = lambda batch: None, waits=BACKOFF_S, latest_columns: list[str] | None = None, history_columns: list[str] | None = None):
         self.spark, self.folder, self.store = spark, folder, Store(spark)
         self.snapshot, self.key, self.event, self.ties, self.keep_s = snapshot, key, event, ties or [], keep_s
         self.notify, self.waits, self.reasons = notify, waits, []
+        self.latest_columns, self.history_columns = latest_columns, history_columns
 
     def pointer(self) -> dict | None:
         path = f"{self.folder}/pointer.json"
@@ -73,9 +74,11 @@ class HotSink:
         if p and p["batch"] >= batch_id:
             return
         stored, past = self.latest(), self.history()
+        dated = good.select(self.history_columns) if self.history_columns else good
+        good = good.select(self.latest_columns) if self.latest_columns else good
         new = merge.upsert_latest(stored if stored is not None else good.limit(0), good, self.key, self.snapshot, self.ties)
         new.write.mode("overwrite").parquet(f"{self.folder}/latest/{batch_id}")
-        added = merge.insert_absent(past if past is not None else good.limit(0), good, self.key, self.event, [self.snapshot, *self.ties])
+        added = merge.insert_absent(past if past is not None else dated.limit(0), dated, self.key, self.event, [self.snapshot, *self.ties])
         parts = [*(p["history"] if p else []), f"{self.folder}/history/{batch_id}"]
         added.write.mode("overwrite").parquet(parts[-1])
         self.store.write_json(f"{self.folder}/pointer.json", {"batch": batch_id, "latest": f"{self.folder}/latest/{batch_id}", "history": parts})

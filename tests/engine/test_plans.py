@@ -165,3 +165,32 @@ def test_model_guards_and_table_function(spark):
 
     r = model.as_table_function(rows, Twice(), ["track_sin", "velocity"]).first()
     assert r.north_m == 2 * r.velocity
+
+
+def test_daily_run_catches_up(spark, folder, capsys):
+    from driftglass.__main__ import main
+
+    for d in range(3):
+        lake.append_cold(reports(spark, [(DAY + 86_400 * d + 60 * k, DAY + 86_400 * d + 60 * k + 1) for k in range(5)]).repartition(2), f"{folder}/bronze")
+        lake.append_cold(reports(spark, [(DAY + 86_400 * d + 4000, DAY + 86_400 * d + 4001)], "b"), f"{folder}/bronze")
+    paths = [f"{folder}/{x}" for x in ("bronze", "silver", "gold", "markers")]
+    first = medallion.run_daily(spark, *paths, "2024-01-03", "v1")
+    assert [r["date"] for r in first["silver"]] == [r["date"] for r in first["gold"]] == [r["date"] for r in first["merge"]] == ["2024-01-01", "2024-01-02"]
+    assert {r["status"] for r in first["merge"]} == {"merged"}
+    again = medallion.run_daily(spark, *paths, "2024-01-04", "v1")
+    assert [len(again[k]) for k in ("silver", "gold", "merge")] == [1, 1, 1]
+    assert main(["counts", "--lake", folder]) == 0 and '"n_rows": 18' in capsys.readouterr().out
+    assert main(["reprocess", "--lake", folder, "--date", "2024-01-02"]) == 0 and capsys.readouterr().out.count("gold") == 2
+    assert main(["gold", "--lake", folder, "--date", "2024-01-02", "2030-01-01"]) == 0
+
+
+def test_report(spark, tmp_path):
+    from driftglass.plans import reports as r
+
+    for k in range(3):
+        (tmp_path / f"{k}.json").write_text(json.dumps({"run_id": f"r{k}", "model": "m", "version": k, "started": f"2024-01-0{3 - k}T00:00:00Z", "metrics": {"p50": 10.0 - k}, "promoted": k == 1, "reason": "x"}))
+    (tmp_path / "bad.json").write_text("{nope")
+    runs = r.read_runs(spark, f"file://{tmp_path}")
+    body = json.loads(r.export_report(runs, spark.createDataFrame([("m", 1)], "model string, champion long")).first().report)
+    assert body["n_runs"] == 3 and [x["run_id"] for x in body["runs"]] == ["r2", "r1", "r0"] and [x["is_champion"] for x in body["runs"]] == [False, True, False]
+    assert [x.run_id for x in r.skipped_and_best(runs, "p50").collect()] == ["r2", "r1", "r0"]

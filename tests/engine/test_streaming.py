@@ -74,3 +74,19 @@ def test_progress_gaps_and_skips(spark):
     p = {"sources": [{"startOffset": {"t": {"0": 5, "1": 5}}, "endOffset": {"t": {"0": 25, "1": 10}}, "numInputRows": 20}]}
     assert progress.skipped_rows(p, False) == 5 and progress.skipped_rows(p, True) == 0
     assert progress.skipped_rows({"sources": [{"startOffset": None, "endOffset": {"logOffset": 3}, "numInputRows": 2}]}, False) == 0
+
+
+def test_predictions_meet_their_truth_or_expire(spark, tmp_path):
+    from driftglass.sources.streams import file_stream
+    from driftglass.streaming import native
+
+    ts = F.timestamp_seconds
+    spark.createDataFrame([("a", 100), ("b", 100), ("c", 5000)], "icao24 string, t long").select("icao24", ts("t").alias("made")).write.parquet(f"{tmp_path}/p")
+    spark.createDataFrame([("a", 112), ("b", 400), ("c", 5010), ("z", 9000)], "icao24 string, t long").select("icao24", ts("t").alias("seen")).write.parquet(f"{tmp_path}/r")
+    spark.createDataFrame([("y", 9000)], "icao24 string, t long").select("icao24", ts("t").alias("made")).write.mode("append").parquet(f"{tmp_path}/p")
+    p = file_stream(spark, f"{tmp_path}/p", "icao24 string, made timestamp", 50)
+    r = file_stream(spark, f"{tmp_path}/r", "icao24 string, seen timestamp", 50)
+    out = []
+    q = native.truths(p, r, 10, 120, "10 seconds").writeStream.foreachBatch(lambda df, k: out.extend(df.toDF("icao24", "made", "icao24_r", "seen").collect())).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {(x.icao24, x.seen is not None) for x in out} == {("a", True), ("b", False), ("c", True)}
