@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.blocks import Block, bucket_count, by_bucket, dealt, mix, rows_of, word_blocks
 from driftglass.llm.components import connected_components
-from driftglass.llm.shared import batch, keep, shared_dir
+from driftglass.llm.shared import batch, keep, keep_bucketed, shared_dir
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 KEY_BITS = np.uint64(24)
@@ -71,7 +71,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             doc_id=pa.array(block.docs, pa.int64()),
             mark=pa.array(block.folds, pa.int64()),
             n=pa.array([len(s) for s in sets], pa.int64()),
-            name=pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
+            name=pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
         )
 
 
@@ -117,10 +117,10 @@ def _prefixes(batches: Iterator[pa.RecordBatch], words: int, buckets: int, perce
             first = np.lexsort((s, g))[:most]
             first = s[first[g[first] > 0]]
             if len(first):
-                names.append(xxhash.xxh3_128_hexdigest(s.tobytes()))
+                names.append(xxhash.xxh3_128_digest(s.tobytes()))
                 counts.append(len(s)), blobs.append(s.tobytes()), marks.append(first.view(np.int64).tolist())
         if names:
-            yield batch(name=pa.array(names), n=pa.array(counts, pa.int64()), shingles=pa.array(blobs, pa.binary()), marks=pa.array(marks, pa.list_(pa.int64())))
+            yield batch(name=pa.array(names, pa.binary()), n=pa.array(counts, pa.int64()), shingles=pa.array(blobs, pa.binary()), marks=pa.array(marks, pa.list_(pa.int64())))
 
 
 class Lists:
@@ -190,7 +190,7 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             continue
         sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
         lists, forest, a, b = Lists(sets), Forest(len(rows)), [], []
-        known: dict[str, int] = {}
+        known: dict[bytes, int] = {}
         for k, r in enumerate(rows):
             forest.join(k, known.setdefault(r["part"], k))
         for k, r in enumerate(rows):
@@ -198,20 +198,20 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 for other in lists.search(sets[k], percent).tolist():
                     if forest.join(k, other):
                         a.append(r["name"]), b.append(rows[other]["name"])
-        yield batch(a=pa.array(a, pa.string()), b=pa.array(b, pa.string()))
+        yield batch(a=pa.array(a, pa.binary()), b=pa.array(b, pa.binary()))
 
 
 def search_tasks(rows: DataFrame, percent: int) -> DataFrame:
     """Links found in tasks; ``rows`` has task, name, part, asks and shingles."""
     dealt_rows = rows.select("task", "name", "part", "asks", "shingles").repartition("task").sortWithinPartitions("task", "name")
-    return dealt_rows.mapInArrow(partial(_search, percent=percent), "a string, b string")
+    return dealt_rows.mapInArrow(partial(_search, percent=percent), "a binary, b binary")
 
 
 def _landmarks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
         s = np.frombuffer(row["shingles"], np.uint64)
         a = [m["name"] for m in row["landmarks"] if _similar(s, np.frombuffer(m["shingles"], np.uint64), percent)]
-        yield batch(a=pa.array(a, pa.string()), b=pa.array([row["name"]] * len(a), pa.string()))
+        yield batch(a=pa.array(a, pa.binary()), b=pa.array([row["name"]] * len(a), pa.binary()))
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -238,7 +238,7 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, lan
         # landmarks: the sets with the smallest names, a bounded number per group
         salted = large.select("grp", F.pmod(F.xxhash64("name"), F.lit(landmarks)).alias("nth"), F.struct("name", "shingles").alias("one"))
         marks = salted.groupBy("grp", "nth").agg(F.min("one").alias("one")).groupBy("grp").agg(F.collect_list("one").alias("landmarks"))
-        star = keep(large.join(marks, "grp").select("name", "shingles", "landmarks").mapInArrow(partial(_landmarks, percent=percent), "a string, b string"), f"{folder}/links-star")
+        star = keep(large.join(marks, "grp").select("name", "shingles", "landmarks").mapInArrow(partial(_landmarks, percent=percent), "a binary, b binary"), f"{folder}/links-star")
         parts = connected_components(star.union(large.select(F.col("name").alias("a"), F.col("name").alias("b")))).select(F.col("v").alias("name"), F.col("label").alias("part"))
         placed = large.join(parts, "name")
         share = placed.groupBy("grp", "part").agg(F.count("*").alias("size"))
@@ -252,7 +252,7 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, lan
 
         placed = keep(placed.withColumn("cell", dealt_over("members", 7)), f"{folder}/placed")
         asking = placed.where("asks").groupBy("grp").agg(F.count("*").alias("asking"))
-        task = F.concat_ws("/", "grp", "query_cell", "cell").alias("task")
+        task = F.concat_ws("/", F.hex("grp"), "query_cell", "cell").alias("task")
         target = placed.join(asking, "grp").withColumn("query_cell", F.explode(F.sequence(F.lit(0), F.ceil(F.col("asking") / half).cast("int") - 1)))
         target = target.select(task, "name", "part", F.lit(False).alias("asks"), "shingles")
         query = placed.where("asks").join(asking, "grp").withColumn("query_cell", dealt_over("asking", 11))
@@ -266,22 +266,24 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, lan
 def set_roots(docs: DataFrame, words: int, percent: int, group: int, folder: str, mark=None) -> tuple[DataFrame, DataFrame]:
     """Stored (block, nth, doc_id, mark, n, name) per row, with ``mark`` an integer expression to carry along, and (name, root) for every set with a link."""
     buckets = bucket_count(docs)
-    blocks = keep(word_blocks(docs, mark), f"{folder}/blocks")
-    rows = keep(blocks.mapInArrow(partial(_sets, words=words), "block string, nth int, doc_id long, mark long, n long, name string"), f"{folder}/rows")
+    blocks = keep_bucketed(word_blocks(docs, mark), f"{folder}/blocks", "block")
+    rows = keep(blocks.mapInArrow(partial(_sets, words=words), "block string, nth int, doc_id long, mark long, n long, name binary"), f"{folder}/rows")
     firsts = rows.where("name is not null").groupBy("name").agg(F.min(F.struct("block", "nth")).alias("at")).groupBy("at.block").agg(F.sort_array(F.collect_list("at.nth")).alias("firsts"))
     chosen = blocks.join(firsts, "block")
     asked = chosen.mapInArrow(partial(_ask, words=words, buckets=buckets), "bucket int, block string, low binary, high binary, often binary")
     answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block string, bucket int, grades binary")
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "grades")).alias("answers"))
-    sets = chosen.join(told, "block").mapInArrow(partial(_prefixes, words=words, buckets=buckets, percent=percent), "name string, n long, shingles binary, marks array<bigint>")
-    return rows, link_sets(keep(sets, f"{folder}/sets"), percent, folder, group)
+    sets = chosen.join(told, "block").mapInArrow(partial(_prefixes, words=words, buckets=buckets, percent=percent), "name binary, n long, shingles binary, marks array<bigint>")
+    return rows, link_sets(keep_bucketed(sets, f"{folder}/sets", "name"), percent, folder, group)
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, group: int = 1000) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    rows, roots = set_roots(docs, words, percent, group, shared_dir(docs.sparkSession))
+    folder = shared_dir(docs.sparkSession)
+    rows, roots = set_roots(docs, words, percent, group, folder)
     named = rows.join(roots, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "name").alias("root"))
-    least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # stored, so that the join has exchanges of its own and a large group's partition can be split
+    least = keep(named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), f"{folder}/least")
     return named.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 

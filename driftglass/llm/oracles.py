@@ -51,3 +51,17 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BI
   sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
+
+_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_words(_AZ)} AS ws FROM documents),
+sh AS (SELECT DISTINCT r, array_to_string(ws[i:i + 3], ' ') AS s FROM (SELECT r, ws, unnest(range(1, greatest(1, len(ws) - 3) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(r, o) AS (SELECT r, r FROM d UNION SELECT reach.r, e.y FROM reach JOIN edges e ON e.x = reach.o),
+least AS (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.r = reach.o GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least.component_id FROM d LEFT JOIN n USING (r) JOIN least USING (r)
+"""

@@ -61,4 +61,4 @@ QUERIES = {
         op10_language_id,
     )
 }
-ORACLES: dict[str, str] = {"op2_line_quality": oracles.OP2, "op5_decontamination": oracles.OP5}
+ORACLES: dict[str, str] = {"op2_line_quality": oracles.OP2, "op3_ngram_jaccard_join": oracles.OP3, "op5_decontamination": oracles.OP5}

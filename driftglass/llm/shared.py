@@ -31,6 +31,15 @@ def keep(df: DataFrame, path: str, codec: str = "zstd", partition_by: list[str]
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_bucketed(df: DataFrame, path: str, key: str) -> DataFrame:
+    """``keep`` as a table bucketed by ``key`` under ``path``: later joins on ``key`` read it in place, without a shuffle."""
+    spark = df.sparkSession
+    name = f"driftglass_{uuid.uuid4().hex}"
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a stage table nothing reads any more."""
     jvm = spark.sparkContext._jvm
