@@ -385,7 +385,7 @@ def next_report_features(spark, sf_dir):
     )
 
 
-_BRACKET = """WITH q AS (SELECT DISTINCT icao24, time_position + 1800 AS asked FROM pos WHERE event_id % 7 = 0), r AS (SELECT icao24, time_position AS t, velocity AS v FROM pos),
+_BRACKET = """WITH q AS (SELECT DISTINCT icao24, time_position + 1800 AS asked FROM pos), r AS (SELECT icao24, time_position AS t, velocity AS v FROM pos),
   b AS (SELECT q.icao24, q.asked, max(t) FILTER (t <= asked) AS t0, max_by(v, t) FILTER (t <= asked) AS v0, min(t) FILTER (t >= asked) AS t1, min_by(v, t) FILTER (t >= asked) AS v1 FROM q JOIN r USING (icao24) GROUP BY 1, 2)
   SELECT icao24, asked, round(CASE WHEN v0 IS NULL THEN v1 WHEN v1 IS NULL THEN v0 WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0) * CAST(asked - t0 AS DOUBLE) / (t1 - t0) END, 6) AS velocity FROM b"""
 
@@ -393,7 +393,7 @@ _BRACKET = """WITH q AS (SELECT DISTINCT icao24, time_position + 1800 AS asked F
 @query(_BRACKET)
 def interp_bracket(spark, sf_dir):
     p = positions(spark, sf_dir)
-    asked = p.where("event_id % 7 = 0").select("icao24", (F.col("time_position") + 1800).alias("asked")).distinct()
+    asked = p.select("icao24", (F.col("time_position") + 1800).alias("asked")).distinct()
     return rounded(samples.bracketed(p, asked, ["icao24"], "time_position", ["velocity"], "asked"), 6, "velocity")
 
 
@@ -470,14 +470,14 @@ def best_metric_flags(spark, sf_dir):
 
 
 def _pending(spark, sf_dir):
-    p = positions(spark, sf_dir).where("latitude is not null and event_id % 5 = 0")
+    p = positions(spark, sf_dir).where("latitude is not null")
     return p.select(
         "icao24", F.col("time_position").alias("ti"), F.col("latitude").alias("lat_i"), F.col("longitude").alias("lon_i"), F.col("latitude").alias("lat0"),
         F.lit(1000.0).alias("pred_n"), F.lit(-500.0).alias("pred_e"), F.lit(0.0).alias("dr_n"), F.lit(0.0).alias("dr_e"),
     )
 
 
-@query(f"""WITH p AS (SELECT icao24, time_position AS ti, latitude AS la, longitude AS lo FROM pos WHERE latitude IS NOT NULL AND event_id % 5 = 0), r AS (SELECT icao24, time_position AS t, latitude AS a, longitude AS o FROM pos WHERE latitude IS NOT NULL),
+@query(f"""WITH p AS (SELECT icao24, time_position AS ti, latitude AS la, longitude AS lo FROM pos WHERE latitude IS NOT NULL), r AS (SELECT icao24, time_position AS t, latitude AS a, longitude AS o FROM pos WHERE latitude IS NOT NULL),
   m AS (SELECT icao24, ti, la, lo, min(t) AS t0, max(t) AS t1, max(t) FILTER (t <= ti + 3600) AS ta, max_by(a, t) FILTER (t <= ti + 3600) AS aa, max_by(o, t) FILTER (t <= ti + 3600) AS oa,
     min(t) FILTER (t >= ti + 3600) AS tb, min_by(a, t) FILTER (t >= ti + 3600) AS ab, min_by(o, t) FILTER (t >= ti + 3600) AS ob FROM p JOIN r USING (icao24) GROUP BY 1, 2, 3, 4),
   s AS (SELECT *, CASE WHEN t0 <= ti AND t1 >= ti + 3600 THEN 'scored' WHEN {AS_OF} - (ti + 3600) > 120 THEN 'giveup' ELSE 'keep' END AS state, CASE WHEN ta = tb THEN 0.0 ELSE CAST(ti + 3600 - ta AS DOUBLE) / (tb - ta) END AS f FROM m),

@@ -107,20 +107,23 @@ def score_pending(pending: DataFrame, reports: DataFrame, as_of: Column, step: i
     """Pending predictions (icao24, ti, lat_i, lon_i, lat0, pred_n, pred_e, dr_n, dr_e) against the last runs' reports.
 
     scored: the run spans ti and ti + step, and the errors are against the interpolated position; giveup: the truth is
-    overdue; keep: it may still come. The last report before and the first after come from one aggregate per prediction,
-    so a prediction meets its object's run only.
+    overdue; keep: it may still come. Union and sort per object, so no prediction is paired with every report.
     """
     target = F.col("ti") + step
-    met = pending.join(reports.select("icao24", F.col("time_position").alias("_t"), F.struct("time_position", "latitude", "longitude").alias("_r")), "icao24", "left")
-    spans = met.groupBy(*pending.columns).agg(
-        F.min("_t").alias("_t0"),
-        F.max("_t").alias("_t1"),
-        F.max(F.when(F.col("_t") <= target, F.col("_r"))).alias("_a"),
-        F.min(F.when(F.col("_t") >= target, F.col("_r"))).alias("_b"),
-    )
+    report = F.struct(F.col("time_position").alias("t"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    seen = reports.select("icao24", F.col("time_position").alias("_t"), report.alias("_r"), F.lit(0).alias("_q"))
+    asked = pending.withColumns({"_t": target, "_q": F.lit(1)})
+    both = asked.unionByName(seen, allowMissingColumns=True)
+    whole = Window.partitionBy("icao24")
+    up = whole.orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, 0)
+    down = whole.orderBy("_t", F.desc("_q")).rowsBetween(0, Window.unboundedFollowing)
+    spans = both.withColumns({
+        "_t0": F.min("_r.t").over(whole), "_t1": F.max("_r.t").over(whole),
+        "_a": F.last("_r", ignorenulls=True).over(up), "_b": F.first("_r", ignorenulls=True).over(down),
+    }).where("_q = 1")
     scored = (F.col("_t0") <= F.col("ti")) & (F.col("_t1") >= target)
-    lat = geo.interpolated(target, F.col("_a.time_position"), F.col("_a.latitude"), F.col("_b.time_position"), F.col("_b.latitude"))
-    lon = geo.interpolated(target, F.col("_a.time_position"), F.col("_a.longitude"), F.col("_b.time_position"), F.col("_b.longitude"))
+    lat = geo.interpolated(target, F.col("_a.t"), F.col("_a.lat"), F.col("_b.t"), F.col("_b.lat"))
+    lon = geo.interpolated(target, F.col("_a.t"), F.col("_a.lon"), F.col("_b.t"), F.col("_b.lon"))
     yn = (lat - F.col("lat_i")) * geo.M_PER_DEGREE
     ye = (lon - F.col("lon_i")) * geo.M_PER_DEGREE * F.cos(F.radians("lat0"))
     state = F.when(scored, "scored").when(as_of - target > giveup_s, "giveup").otherwise("keep")
@@ -130,4 +133,4 @@ def score_pending(pending: DataFrame, reports: DataFrame, as_of: Column, step: i
         "err_model": only(geo.euclidean_m(F.col("pred_n") - yn, F.col("pred_e") - ye)),
         "err_dr": only(geo.euclidean_m(F.col("dr_n") - yn, F.col("dr_e") - ye)),
         "moved": only(geo.euclidean_m(yn, ye)),
-    }).drop("_t0", "_t1", "_a", "_b")
+    }).drop("_t", "_q", "_r", "_t0", "_t1", "_a", "_b")
