@@ -43,7 +43,7 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
     """One sample per report: displacements on a grid that ends at the report, and the position one step later.
 
     A report needs ``least`` steps of unbroken context behind it and a report at least one step ahead in its run. The
-    grid's points are interpolated between the run's reports (``at_time``); per report there are at most ``most`` + 2.
+    grid's points are interpolated between the run's reports; per report there are at most ``most`` + 2.
     """
     t, lat, lon = F.col("time_position"), F.col("latitude"), F.col("longitude")
     rows = traj.where(t.isNotNull() & lat.isNotNull() & lon.isNotNull()).dropDuplicates(["segment_id", "time_position"])
@@ -66,7 +66,8 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
     rows = rows.where(ok).withColumn("context", F.least(F.lit(most), F.floor((t - F.col("run_start")) / step)).cast("int"))
     # grid times: oldest first, the report itself, then one step ahead
     grid = F.transform(F.sequence(-F.col("context"), F.lit(1)), lambda k: t + k * step)
-    rows = rows.withColumn("_grid", F.transform(grid, lambda g: F.struct(at_time(F.col("_near"), g, "_north").alias("n"), at_time(F.col("_near"), g, "_east").alias("e"))))
+    rows = rows.withColumn("_brackets", F.transform(grid, lambda g: bracket(F.col("_near"), g)))
+    rows = rows.withColumn("_grid", F.transform("_brackets", lambda x: F.struct(between(x, "_north").alias("n"), between(x, "_east").alias("e"))))
     moves = lambda axis: F.transform(F.slice("_grid", F.lit(2), F.size("_grid") - 2), lambda p, k: p[axis] - F.get("_grid", k)[axis])
     rows = rows.withColumns({"move_n": moves("n"), "move_e": moves("e")})
     ahead = F.element_at("_grid", -1)
@@ -80,12 +81,18 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
     )
 
 
-def at_time(reports: Column, g: Column, axis: str) -> Column:
-    """Interpolated value of an ascending array of reports at time g."""
+def bracket(reports: Column, g: Column) -> Column:
+    """Time g with the last report up to it and the first from it on, of an ascending array."""
     before = F.element_at(F.filter(reports, lambda r: r["time_position"] <= g), -1)
     after = F.get(F.filter(reports, lambda r: r["time_position"] >= g), F.lit(0))
-    line = geo.interpolated(g, before["time_position"], before[axis], after["time_position"], after[axis])
-    return F.when(before[axis].isNull(), after[axis]).when(after[axis].isNull(), before[axis]).otherwise(line)
+    return F.struct(g.alias("g"), before.alias("a"), after.alias("b"))
+
+
+def between(x: Column, axis: str) -> Column:
+    """Interpolated value of a bracket; held beyond the first and last report."""
+    a, b = x["a"], x["b"]
+    line = geo.interpolated(x["g"], a["time_position"], a[axis], b["time_position"], b[axis])
+    return F.when(a[axis].isNull(), b[axis]).when(b[axis].isNull(), a[axis]).otherwise(line)
 
 
 def group_split(df: DataFrame, group: str, train_pct: int = 80, seed: int = 42) -> DataFrame:
