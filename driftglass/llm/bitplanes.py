@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import batch, keep, shared_dir
+from driftglass.llm.shared import batch, keep, shared_dir, tidied
 from driftglass.llm.tokens import byte_bpe_path, encoder
 
 MAGIC = b"DGPLANE1"
@@ -159,7 +159,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
     """Encode ``docs`` (doc_id, text) into plane files below ``folder``; returns the stored manifest, a row per file."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(partial(_write, folder=f"{folder}/planes", path=tokenizer or byte_bpe_path(), end_id=end_id, block_ids=block_ids, bits=bits), MANIFEST)
+    files = ordered.mapInArrow(tidied(partial(_write, folder=f"{folder}/planes", path=tokenizer or byte_bpe_path(), end_id=end_id, block_ids=block_ids, bits=bits)), MANIFEST)
     return keep(files, f"{folder}/manifest")
 
 
@@ -182,7 +182,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
         rows.append((uri, start))
         start += n
     tasks = spark.createDataFrame(rows, "file string, start long")
-    return tasks.repartition(max(1, len(rows))).mapInArrow(_read, DOCS)
+    return tasks.repartition(max(1, len(rows))).mapInArrow(tidied(_read), DOCS)
 
 
 def round_trip(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:

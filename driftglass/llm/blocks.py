@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import batch
+from driftglass.llm.shared import batch, tidied
 
 BLOCK = "block string, docs array<bigint>, folds array<bigint>, ends binary, words binary, vocab binary"
 CHUNK = 1 << 22
@@ -77,7 +77,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
 def word_blocks(docs: DataFrame, fold=None, words: int = 1_500_000) -> DataFrame:
     """Blocks of ``docs`` (doc_id, text) with an optional integer column expression per document. Store before use."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None) if fold is None else fold).cast("long").alias("fold"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(partial(_blocks, words=words), BLOCK)
+    return rows.mapInArrow(tidied(partial(_blocks, words=words)), BLOCK)
 
 
 class Block:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import batch, crc_remainder
+from driftglass.llm.shared import batch, crc_remainder, tidied
 
 STRETCH, BATCH_CHARS, TABLE = 256, 4 << 20, 1 << 16
 
@@ -172,5 +172,5 @@ def predict(docs: DataFrame, chars: int = 16_000) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
     if not parser.languages:
-        return rows.mapInArrow(_unknown, schema)
-    return rows.mapInArrow(partial(_judge, parser=docs.sparkSession.sparkContext.broadcast(parser)), schema)
+        return rows.mapInArrow(tidied(_unknown), schema)
+    return rows.mapInArrow(tidied(partial(_judge, parser=docs.sparkSession.sparkContext.broadcast(parser))), schema)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.blocks import word_runs
 from driftglass.llm.sample import labelled_sample
-from driftglass.llm.shared import batch, crc_remainder
+from driftglass.llm.shared import batch, crc_remainder, tidied
 from driftglass.llm.toxicity import learns
 
 TERMS, DIMENSIONS, BLOCK = 8192, 64, 512
@@ -116,7 +116,7 @@ class Space:
 
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "quality", per_class: int = 2000, k: int = 25) -> Space:
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
-    rows = sample.mapInArrow(_collect, "slots binary, weights binary, label int").collect()
+    rows = sample.mapInArrow(tidied(_collect), "slots binary, weights binary, label int").collect()
     return Space([(np.frombuffer(r.slots, "<i4"), np.frombuffer(r.weights, "<f4"), r.label) for r in rows], totals, k)
 
 
@@ -132,5 +132,5 @@ def predict(docs: DataFrame, labels: DataFrame, per_class: int = 2000, k: int =
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     space = docs.sparkSession.sparkContext.broadcast(train(docs, labels, learns(3, 1), per_class=per_class, k=k))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_remainder("doc_id", 3) == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(partial(_score, space=space), "doc_id long, held_out boolean, score double")
+    scored = rows.mapInArrow(tidied(partial(_score, space=space)), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

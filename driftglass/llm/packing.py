@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import batch, keep, shared_dir
+from driftglass.llm.shared import batch, keep, shared_dir, tidied
 from driftglass.llm.tokens import byte_bpe_path, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -58,7 +58,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: in
 def cut_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids per document; with ``ids`` also the ids, as little-endian bytes."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(partial(_cut, path=tokenizer or byte_bpe_path(), capacity=capacity, end_id=end_id, ids=ids), PIECES + (", ids binary" if ids else ""))
+    return rows.mapInArrow(tidied(partial(_cut, path=tokenizer or byte_bpe_path(), capacity=capacity, end_id=end_id, ids=ids)), PIECES + (", ids binary" if ids else ""))
 
 
 def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftglass.llm.sample import labelled_sample, prior_shift
-from driftglass.llm.shared import batch, crc_remainder, keep, shared_dir
+from driftglass.llm.shared import batch, crc_remainder, keep, shared_dir, tidied
 
 ORDERS, BITS, PIECE = (3, 4, 5), 18, 1 << 18
 
@@ -86,7 +86,7 @@ def telling_grams(features: DataFrame, n0: int, n1: int, least: int = 3, least_r
     Those are in at least ``least`` sample documents, with a log ratio of ``least_ratio`` or more that is ``deviations``
     standard errors from none. Weaker n-grams, and those of other texts, would let the length of a text drown a few words.
     """
-    counts = features.select("ids", "label").mapInArrow(_count, "id int, c0 long, c1 long").groupBy("id").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    counts = features.select("ids", "label").mapInArrow(tidied(_count), "id int, c0 long, c1 long").groupBy("id").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     ratio = F.ln((F.col("c1") + 0.5) / (n1 + 1)) - F.ln((F.col("c0") + 0.5) / (n0 + 1))
     error = F.sqrt(1 / (F.col("c1") + 0.5) + 1 / (F.col("c0") + 0.5))
     found = counts.withColumn("ratio", ratio).where((F.col("c0") + F.col("c1") >= least) & (F.col("ratio") >= least_ratio) & (F.col("ratio") >= deviations * error))
@@ -126,14 +126,14 @@ def fit(rows: list[tuple[np.ndarray, int]], ratio: np.ndarray, shift: float = 0.
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", per_class: int = 4000) -> Model:
     """Fit on a bounded sample. Only telling n-grams of its documents come to the driver, a few hundred bytes each."""
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
-    features = keep(sample.mapInArrow(_collect_features, "ids binary, label int"), f"{shared_dir(docs.sparkSession)}/features")
+    features = keep(sample.mapInArrow(tidied(_collect_features), "ids binary, label int"), f"{shared_dir(docs.sparkSession)}/features")
     n = {r["label"]: r["count"] for r in features.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         share = totals.get(1, 0) / max(1, sum(totals.values()))
         return Model(np.zeros(1 << BITS, np.float32), math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     ratio = telling_grams(features, n0, n1)
-    rows = features.mapInArrow(partial(_keep_telling, telling=ratio > 0), "ids binary, label int").collect()
+    rows = features.mapInArrow(tidied(partial(_keep_telling, telling=ratio > 0)), "ids binary, label int").collect()
     return fit([(np.frombuffer(r.ids, np.int32), r.label) for r in rows], ratio, prior_shift(totals, n0, n1))
 
 
@@ -147,7 +147,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without text, with score."""
     kept = [c for c in docs.columns if c not in ("text", "score")]
     schema = docs.select(*kept).schema.add("score", "double")
-    return docs.select(*kept, F.col("text").cast("string").alias("text")).mapInArrow(partial(_score, model=model), schema)
+    return docs.select(*kept, F.col("text").cast("string").alias("text")).mapInArrow(tidied(partial(_score, model=model)), schema)
 
 
 def learns(modulus: int, held: int):
@@ -168,4 +168,4 @@ def _reject(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterato
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model doesn't predict toxic, as they are."""
-    return docs.mapInArrow(partial(_reject, model=model, at=docs.columns.index("text")), docs.schema)
+    return docs.mapInArrow(tidied(partial(_reject, model=model, at=docs.columns.index("text"))), docs.schema)
