@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = keep(suffix.remove_repeats(docs.select(COLUMNS), texts=True), f"{shared_dir(spark)}/cleaned")
+    cleaned = suffix.remove_repeats(docs.select(COLUMNS), texts=True)
     left = cleaned.where("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.anchors import window_anchors
 from driftglass.llm.blocks import bucket_count, by_bucket, dealt, rows_of
-from driftglass.llm.shared import batch, keep, shared_dir
+from driftglass.llm.shared import batch, keep, shared_dir, tidied
 
 SHARD_BYTES = 2 << 20
 
@@ -247,9 +247,11 @@ def repeated_spans(docs: DataFrame, span: int = 400, k: int = 200, group: int =
     """(t1, t2, lo, end): stored byte spans to remove, per distinct text; see ``named`` for t1 and t2."""
     folder = folder or shared_dir(docs.sparkSession)
     texts = named(docs).select("t1", "t2", "text")
-    found = keep(texts.mapInArrow(partial(_anchors, span=span, k=k), "h long, digest long, t1 long, t2 long, lo long, hi long"), f"{folder}/anchors")
+    found = keep(texts.mapInArrow(tidied(partial(_anchors, span=span, k=k)), "h long, digest long, t1 long, t2 long, lo long, hi long"), f"{folder}/anchors")
     heads = found.groupBy("h").agg(F.count("*").alias("n"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("n > 1")
-    again = keep(found.join(heads.select("h", (F.col("d0") < F.col("d1")).alias("mixed")), "h"), f"{folder}/again")
+    # stored, so that the join has exchanges of its own and a hot anchor's partition can be split
+    heads = keep(heads.select("h", (F.col("d0") < F.col("d1")).alias("mixed")), f"{folder}/heads")
+    again = keep(found.join(heads, "h"), f"{folder}/again")
     slices = again.where("mixed").groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("one"))
     slices = keep(slices, f"{folder}/slices")
     whole = again.where("not mixed").select("t1", "t2", "lo", (F.col("hi") + span).alias("end"))
@@ -260,21 +262,21 @@ def repeated_spans(docs: DataFrame, span: int = 400, k: int = 200, group: int =
     wanted = slices.join(many, "h").select("h", "one.*", (F.col("n") == 1).alias("open"), (parts > 1).alias("salted"), F.concat_ws("/", "h", F.pmod("digest", parts)).alias("shard"))
     wanted = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("h", "lo", "hi", "open", "salted", "shard")).alias("slices"))
     once = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    cut = once.join(wanted, ["t1", "t2"]).mapInArrow(partial(_cut, span=span), "h long, shard string, t1 long, t2 long, lo long, open boolean, salted boolean, raw binary")
+    cut = once.join(wanted, ["t1", "t2"]).mapInArrow(tidied(partial(_cut, span=span)), "h long, shard string, t1 long, t2 long, lo long, open boolean, salted boolean, raw binary")
     cut = cut.repartition("shard").sortWithinPartitions("shard", "t1", "t2", "lo")
     salted = slices.groupBy("h").count().where(F.col("count") > group).limit(1).count() > 0
     if salted:
         cut = keep(cut, f"{folder}/cut")
     schema = "t1 long, t2 long, lo long, end long"
-    near = keep(cut.mapInArrow(partial(_repeated, span=span), schema), f"{folder}/near")
+    near = keep(cut.mapInArrow(tidied(partial(_repeated, span=span)), schema), f"{folder}/near")
     out = whole.union(copies).union(near)
     if salted:
         buckets = bucket_count(docs)
         hot = cut.where("salted").repartition("shard").sortWithinPartitions("shard", "t1", "t2", "lo")
-        asked = hot.mapInArrow(partial(_ask, span=span, buckets=buckets), "bucket int, block string, digests binary")
-        told = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "shard string, known binary").groupBy("shard").agg(F.collect_list("known").alias("known"))
+        asked = hot.mapInArrow(tidied(partial(_ask, span=span, buckets=buckets)), "bucket int, block string, digests binary")
+        told = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_answer), "shard string, known binary").groupBy("shard").agg(F.collect_list("known").alias("known"))
         both = hot.join(told, "shard").repartition("shard").sortWithinPartitions("shard", "t1", "t2", "lo")
-        out = out.union(keep(both.mapInArrow(partial(_told, span=span), schema), f"{folder}/far"))
+        out = out.union(keep(both.mapInArrow(tidied(partial(_told, span=span)), schema), f"{folder}/far"))
     return out
 
 
@@ -301,20 +303,19 @@ def _kept(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordB
                 at += len(p)
             for c, v in (("t1", row["t1"]), ("t2", row["t2"]), ("n_bytes", len(raw)), ("n_removed", len(raw) - at), ("n_spans", spans), ("kept_sha256", digest.hexdigest())):
                 out[c].append(v)
-            out["kept"].append(b"".join(parts).decode(errors="ignore") if texts else None)
+            out["kept"].append(b"".join(parts).decode(errors="ignore") if texts and at < len(raw) else None)
         yield batch(**{c: pa.array(v, pa.string() if c in ("kept_sha256", "kept") else pa.int64()) for c, v in out.items()})
 
 
 def remove_repeats(docs: DataFrame, span: int = 400, k: int = 200, group: int = 4096, texts: bool = False) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept: what is left of the text.
-
-    ``kept`` drops the bytes of a character that was cut apart.
+    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept: what is left of a text that lost
+    something, null for the others. ``kept`` drops the bytes of a character that was cut apart.
     """
     folder = shared_dir(docs.sparkSession)
     spans = repeated_spans(docs, span, k, group, folder).groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "end")).alias("spans"))
     once = named(docs).groupBy("t1", "t2").agg(F.first("text").alias("text"))
     schema = "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    left = keep(once.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "spans").mapInArrow(partial(_kept, texts=texts), schema), f"{folder}/left")
+    left = keep(once.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "spans").mapInArrow(tidied(partial(_kept, texts=texts)), schema), f"{folder}/left")
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
     rows = named(docs.drop(*(c for c in ("t1", "t2", *names) if c in docs.columns))).drop(*([] if texts else ["text"]))
     return rows.join(left.select("t1", "t2", *names), ["t1", "t2"]).drop("t1", "t2")
