@@ -25,11 +25,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftglass.llm.blocks import Block, bucket_count, by_bucket, dealt, mix, rows_of, word_blocks
-from driftglass.llm.shared import batch, crc_remainder, keep, shared_dir
+from driftglass.llm.shared import batch, crc_remainder, keep, keep_bucketed, shared_dir, tidied
 
 LARGEST, TAIL, SALTS = 5, 0.999, 32
 END, BEGIN = np.uint64(0xE0D), np.uint64(0xBE6)
@@ -62,6 +63,17 @@ class Words:
         return np.where(c > 0, discounted(self.d, c) / max(1, self.total), self.unknown)
 
 
+def pressed(x: np.ndarray) -> bytes:
+    """Counts as compressed byte planes: most high bytes are zero."""
+    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpressed(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+
 def _learns(block: Block) -> np.ndarray:
     return np.array([f is not None and f != 1 for f in block.folds], bool)
 
@@ -74,9 +86,9 @@ class Pairs:
         n = len(block.vocab)
         sizes = block.ends - block.starts
         docs = len(sizes)
-        self.owner = np.repeat(np.arange(docs), sizes + 1)
+        self.owner = np.repeat(np.arange(docs, dtype=np.int32), sizes + 1)
         last = np.cumsum(sizes + 1) - 1
-        self.token = np.full(len(self.owner), n, np.int64)
+        self.token = np.full(len(self.owner), n, np.int32)
         inner = np.ones(len(self.owner), bool)
         inner[last] = False
         self.token[inner] = block.words
@@ -88,8 +100,10 @@ class Pairs:
         self.width = n + 2
 
     def distinct(self) -> None:
-        codes, self.pair = np.unique(self.before * self.width + self.token, return_inverse=True)
-        self.v, self.w = codes // self.width, codes % self.width
+        codes, pair = np.unique(self.before.astype(np.int64) * self.width + self.token, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del self.before, pair
+        self.v, self.w = (codes // self.width).astype(np.int32), (codes % self.width).astype(np.int32)
         self.often = np.bincount(self.pair[self.learns], minlength=len(codes))
 
     def ordered(self, counts: np.ndarray, total: int, buckets: int) -> None:
@@ -186,7 +200,7 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words) ->
         ends = np.concatenate([[0], np.cumsum(pairs.group_size)])
         for g, h in zip(np.concatenate([[0], cuts]).tolist(), np.append(cuts, len(lens)).tolist(), strict=True):
             i, j = ends[g], ends[h]
-            held.append((int(pairs.group_bucket[g]), *(x[g:h].tobytes() for x in (vs, lens, hot)), *(x[i:j].tobytes() for x in (low, high, often, known))))
+            held.append((int(pairs.group_bucket[g]), *(x[g:h].tobytes() for x in (vs, lens, hot)), *(x[i:j].tobytes() for x in (low, high)), *(pressed(x[i:j]) for x in (often, known))))
             if len(held) == 128 or h == len(lens):
                 c = list(zip(*held, strict=True))
                 names = ("vs", "lens", "hot", "low", "high", "often", "known")
@@ -197,25 +211,33 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words) ->
 ASKED_PAIRS = "bucket int, block string, vs binary, lens binary, hot binary, low binary, high binary, often binary, known binary"
 
 
+def _six(w: np.ndarray) -> bytes:
+    """48-bit keys as six bytes each."""
+    return np.ascontiguousarray(w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
 def _tell_pairs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
     for bucket, rows in by_bucket(rows_of(batches)):
         def joined(name: str, kind: str) -> np.ndarray:
             return np.concatenate([np.frombuffer(r[name], kind) for r in rows])
 
+        def counted(name: str) -> np.ndarray:
+            return np.concatenate([unpressed(r[name]) for r in rows]).astype(np.int64)
+
         vs, lens, hot = joined("vs", np.uint64), joined("lens", "<u4").astype(np.int64), joined("hot", np.uint8)
         w = joined("low", "<u4").astype(np.uint64) | (joined("high", "<u2").astype(np.uint64) << np.uint64(32))
         group = np.repeat(np.arange(len(vs)), lens)
         contexts, context = np.unique(vs, return_inverse=True)
         key = mix(vs[group] ^ (w * np.uint64(0x9E3779B97F4A7C15)))
         names, first, at = np.unique(key, return_index=True, return_inverse=True)
-        total = np.bincount(at, joined("often", "<u4"), minlength=len(names)).astype(np.int64)
+        total = np.bincount(at, counted("often"), minlength=len(names)).astype(np.int64)
         # per context: how many pairs of each small count, and the unigram mass of the words seen after it
         of = context[group[first]]
         seen = total > 0
         small = np.zeros((len(contexts), LARGEST), np.int64)
         for r in range(1, LARGEST + 1):
             small[:, r - 1] = np.bincount(of[total == r], minlength=len(contexts))
-        mass = np.bincount(of[seen], words.probability(joined("known", "<u4").astype(np.int64)[first][seen]), minlength=len(contexts))
+        mass = np.bincount(of[seen], words.probability(counted("known")[first][seen]), minlength=len(contexts))
         told = total[at]
         lack = np.bincount(group, told == 0, minlength=len(vs)) > 0
         wanted = lack | (hot > 0)
@@ -225,13 +247,13 @@ def _tell_pairs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.
         for k in range(len(rows)):
             own = np.flatnonzero(wanted[g0[k] : g0[k + 1]])
             c = context[g0[k] : g0[k + 1]][own]
-            counts.append(told[e0[k] : e0[k + 1]].astype("<u4").tobytes())
+            counts.append(pressed(told[e0[k] : e0[k + 1]]))
             groups.append(own.astype("<u4").tobytes())
             sums.append(np.column_stack([small[c].astype(float), mass[c]]).astype("<f8").tobytes())
         yield _table_row("answer", bucket, len(rows), block=[r["block"] for r in rows], counts=counts, groups=groups, sums=sums)
         by = np.lexsort((w[first][seen], of[seen]))
         lens_out = np.bincount(of[seen], minlength=len(contexts))
-        yield _table_row("table", bucket, 1, keys=[contexts.tobytes() + w[first][seen][by].astype("<u8").tobytes()], lens=[lens_out.astype("<u4").tobytes()], counts=[total[seen][by].astype("<u4").tobytes()])
+        yield _table_row("table", bucket, 1, keys=[contexts.tobytes() + _six(w[first][seen][by])], lens=[lens_out.astype("<u4").tobytes()], counts=[pressed(total[seen][by])])
         yield _table_row("stats", bucket, 1, total=[int(total.sum())], types=[int(seen.sum())], counts_of=[_count_of_counts(total)])
 
 
@@ -244,7 +266,7 @@ def _score(batches: Iterator[pa.RecordBatch], buckets: int, words: Words, pair_d
         pairs.ordered(counts, words.total, buckets)
         told = sorted(row["pairs_told"], key=lambda x: x["bucket"])
         seen = np.empty(len(pairs.order), np.int64)
-        seen[pairs.order] = np.frombuffer(b"".join(x["counts"] for x in told), "<u4")
+        seen[pairs.order] = np.concatenate([unpressed(x["counts"]) for x in told])
         # sums of contexts, added up over their buckets
         sums = np.zeros((pairs.width, LARGEST + 1))
         starts = np.flatnonzero(np.concatenate([[True], np.diff(pairs.group_bucket) != 0]))
@@ -281,13 +303,13 @@ def _stats(told: DataFrame) -> tuple[int, int, list[int], int]:
     return row[0], row[1], list(row[3:]), row[2]
 
 
-def score_documents(docs: DataFrame, block_words: int = 2_500_000) -> DataFrame:
+def score_documents(docs: DataFrame, block_words: int = 1_250_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
     folder, buckets = shared_dir(docs.sparkSession), bucket_count(docs)
-    blocks = keep(word_blocks(docs, crc_remainder("doc_id", 5), block_words), f"{folder}/blocks")
+    blocks = keep_bucketed(word_blocks(docs, crc_remainder("doc_id", 5), block_words), f"{folder}/blocks", "block")
 
-    asked = blocks.mapInArrow(partial(_ask_words, buckets=buckets), "bucket int, block string, keys binary, often binary")
-    told = keep(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_tell_words, TABLE), f"{folder}/words", partition_by=["kind"])
+    asked = blocks.mapInArrow(tidied(partial(_ask_words, buckets=buckets)), "bucket int, block string, keys binary, often binary")
+    told = keep(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_tell_words), TABLE), f"{folder}/words", partition_by=["kind"])
     total, types, counts_of, few = _stats(told)
     d = discounts(counts_of)
     seen = sum(d[r] * r * counts_of[r] for r in range(1, LARGEST + 1)) + TAIL * (total - few)
@@ -295,9 +317,9 @@ def score_documents(docs: DataFrame, block_words: int = 2_500_000) -> DataFrame:
     words_told = told.where("kind = 'answer'").groupBy("block").agg(F.collect_list(F.struct("bucket", "counts")).alias("words_told"))
     known = blocks.join(words_told, "block")
 
-    asked = known.mapInArrow(partial(_ask_pairs, buckets=buckets, words=words), ASKED_PAIRS)
-    told = keep(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_tell_pairs, words=words), TABLE), f"{folder}/pairs", partition_by=["kind"])
+    asked = known.mapInArrow(tidied(partial(_ask_pairs, buckets=buckets, words=words)), ASKED_PAIRS)
+    told = keep(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(partial(_tell_pairs, words=words)), TABLE), f"{folder}/pairs", partition_by=["kind"])
     pair_discounts = discounts(_stats(told)[2])
     pairs_told = told.where("kind = 'answer'").groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "groups", "sums")).alias("pairs_told"))
-    scored = known.join(pairs_told, "block").mapInArrow(partial(_score, buckets=buckets, words=words, pair_discounts=pair_discounts), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = known.join(pairs_told, "block").mapInArrow(tidied(partial(_score, buckets=buckets, words=words, pair_discounts=pair_discounts)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored
