@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.blocks import Block, bucket_count, by_bucket, dealt, mix, rows_of, word_blocks
 from driftglass.llm.components import connected_components
-from driftglass.llm.shared import batch, keep, keep_bucketed, shared_dir
+from driftglass.llm.shared import batch, keep, keep_bucketed, shared_dir, tidied
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 KEY_BITS = np.uint64(24)
@@ -204,21 +204,7 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 def search_tasks(rows: DataFrame, percent: int) -> DataFrame:
     """Links found in tasks; ``rows`` has task, name, part, asks and shingles."""
     dealt_rows = rows.select("task", "name", "part", "asks", "shingles").repartition("task").sortWithinPartitions("task", "name")
-    return dealt_rows.mapInArrow(partial(_search, percent=percent), "a binary, b binary")
-
-
-def _landmarks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for row in rows_of(batches):
-        s = np.frombuffer(row["shingles"], np.uint64)
-        a = [m["name"] for m in row["landmarks"] if _similar(s, np.frombuffer(m["shingles"], np.uint64), percent)]
-        yield batch(a=pa.array(a, pa.binary()), b=pa.array([row["name"]] * len(a), pa.binary()))
-
-
-def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
+    return dealt_rows.mapInArrow(tidied(partial(_search, percent=percent)), "a binary, b binary")
 
 
 def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, landmarks: int = 8) -> DataFrame:
@@ -235,28 +221,34 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, lan
 
     large = members.where(F.col("members") > group)
     if large.limit(1).count():
-        # landmarks: the sets with the smallest names, a bounded number per group
-        salted = large.select("grp", F.pmod(F.xxhash64("name"), F.lit(landmarks)).alias("nth"), F.struct("name", "shingles").alias("one"))
-        marks = salted.groupBy("grp", "nth").agg(F.min("one").alias("one")).groupBy("grp").agg(F.collect_list("one").alias("landmarks"))
-        star = keep(large.join(marks, "grp").select("name", "shingles", "landmarks").mapInArrow(partial(_landmarks, percent=percent), "a binary, b binary"), f"{folder}/links-star")
+        # cells of bounded size: a salt per group, as many as its members or its asking members need
+        half = F.lit(max(1, group // 2))
+
+        def cells(column: str):
+            return F.ceil(F.col(column) / half).cast("int")
+
+        def dealt_over(column: str, seed: int):
+            return F.pmod(F.xxhash64("name", F.lit(seed)), cells(column).cast("long")).cast("int")
+
+        # landmarks: the set with the smallest name of each salt, a bounded number per group; every cell meets all of them
+        salted = large.groupBy("grp", F.pmod(F.xxhash64("name"), F.lit(landmarks)).alias("nth")).agg(F.min(F.struct("name", "shingles")).alias("one"), F.max("members").alias("members"))
+        at = F.concat_ws("/", F.hex("grp"), "cell").alias("task")
+        marks = salted.select("grp", "one.*", F.explode(F.sequence(F.lit(0), cells("members") - 1)).alias("cell"))
+        marks = marks.select(at, "name", F.col("name").alias("part"), F.lit(True).alias("asks"), "shingles")
+        others = large.withColumn("cell", dealt_over("members", 7)).select(at, "name", F.col("name").alias("part"), F.lit(False).alias("asks"), "shingles")
+        star = keep(search_tasks(others.union(marks), percent), f"{folder}/links-star")
         parts = connected_components(star.union(large.select(F.col("name").alias("a"), F.col("name").alias("b")))).select(F.col("v").alias("name"), F.col("label").alias("part"))
         placed = large.join(parts, "name")
         share = placed.groupBy("grp", "part").agg(F.count("*").alias("size"))
         main = share.groupBy("grp").agg(F.max(F.struct("size", "part")).alias("top")).select("grp", F.col("top.part").alias("main"))
         placed = placed.join(main, "grp").withColumn("asks", F.col("part") != F.col("main"))
-        # cells of bounded size: a salt per group, as many as its members or its asking members need
-        half = F.lit(max(1, group // 2))
-
-        def dealt_over(column: str, seed: int):
-            return F.pmod(F.xxhash64("name", F.lit(seed)), F.ceil(F.col(column) / half).cast("long")).cast("int")
-
         placed = keep(placed.withColumn("cell", dealt_over("members", 7)), f"{folder}/placed")
         asking = placed.where("asks").groupBy("grp").agg(F.count("*").alias("asking"))
         task = F.concat_ws("/", F.hex("grp"), "query_cell", "cell").alias("task")
-        target = placed.join(asking, "grp").withColumn("query_cell", F.explode(F.sequence(F.lit(0), F.ceil(F.col("asking") / half).cast("int") - 1)))
+        target = placed.join(asking, "grp").withColumn("query_cell", F.explode(F.sequence(F.lit(0), cells("asking") - 1)))
         target = target.select(task, "name", "part", F.lit(False).alias("asks"), "shingles")
         query = placed.where("asks").join(asking, "grp").withColumn("query_cell", dealt_over("asking", 11))
-        query = query.withColumn("cell", F.explode(F.sequence(F.lit(0), F.ceil(F.col("members") / half).cast("int") - 1)))
+        query = query.withColumn("cell", F.explode(F.sequence(F.lit(0), cells("members") - 1)))
         query = query.select(task, "name", "part", F.lit(True).alias("asks"), "shingles")
         rest = keep(search_tasks(target.union(query), percent), f"{folder}/links-rest")
         links = links.union(star).union(rest)
@@ -267,13 +259,13 @@ def set_roots(docs: DataFrame, words: int, percent: int, group: int, folder: str
     """Stored (block, nth, doc_id, mark, n, name) per row, with ``mark`` an integer expression to carry along, and (name, root) for every set with a link."""
     buckets = bucket_count(docs)
     blocks = keep_bucketed(word_blocks(docs, mark), f"{folder}/blocks", "block")
-    rows = keep(blocks.mapInArrow(partial(_sets, words=words), "block string, nth int, doc_id long, mark long, n long, name binary"), f"{folder}/rows")
+    rows = keep(blocks.mapInArrow(tidied(partial(_sets, words=words)), "block string, nth int, doc_id long, mark long, n long, name binary"), f"{folder}/rows")
     firsts = rows.where("name is not null").groupBy("name").agg(F.min(F.struct("block", "nth")).alias("at")).groupBy("at.block").agg(F.sort_array(F.collect_list("at.nth")).alias("firsts"))
     chosen = blocks.join(firsts, "block")
-    asked = chosen.mapInArrow(partial(_ask, words=words, buckets=buckets), "bucket int, block string, low binary, high binary, often binary")
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block string, bucket int, grades binary")
+    asked = chosen.mapInArrow(tidied(partial(_ask, words=words, buckets=buckets)), "bucket int, block string, low binary, high binary, often binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_answer), "block string, bucket int, grades binary")
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "grades")).alias("answers"))
-    sets = chosen.join(told, "block").mapInArrow(partial(_prefixes, words=words, buckets=buckets, percent=percent), "name binary, n long, shingles binary, marks array<bigint>")
+    sets = chosen.join(told, "block").mapInArrow(tidied(partial(_prefixes, words=words, buckets=buckets, percent=percent)), "name binary, n long, shingles binary, marks array<bigint>")
     return rows, link_sets(keep_bucketed(sets, f"{folder}/sets", "name"), percent, folder, group)
 
 
