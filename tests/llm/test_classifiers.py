@@ -38,6 +38,29 @@ def test_toxicity_held_out(spark):
     assert got[got.toxic == 0].predicted.mean() < 0.02
 
 
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """A model of the learning fold of sf0.1, and its labelled documents."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    return toxicity.train(docs, labels, toxicity.learns(5, 0)), docs.join(labels, "doc_id").select("doc_id", "text", "lang", "toxic").toPandas()
+
+
+def test_toxicity_held_out_in_every_language(labelled):
+    model, rows = labelled
+    held = rows[[zlib.crc32(str(d).encode()) % 5 == 0 for d in rows.doc_id]]
+    marked = held.text.map(model.score) >= 0.5
+    recall = marked[held.toxic == 1].groupby(held.lang).mean()
+    assert sorted(recall.index) == ["de", "en", "es", "fr"] and recall.min() > 0.8
+    assert marked[held.toxic == 0].mean() < 0.005
+
+
+def test_counts_over_pieces():
+    text = "abcé" * 150_000 + "xyz"
+    ids, counts = toxicity.counted(text)
+    whole, n = np.unique(toxicity.gram_ids(np.frombuffer(text.encode(), np.uint8)), return_counts=True)
+    assert (ids == whole).all() and (counts == n).all()
+
+
 def test_quality_held_out(spark):
     docs, labels = table(spark, "documents"), table(spark, "labels")
     got = neighbours.predict(docs, labels).join(labels, "doc_id").toPandas()
