@@ -54,6 +54,15 @@ def test_toxicity_held_out_in_every_language(labelled):
     assert marked[held.toxic == 0].mean() < 0.005
 
 
+def test_long_clean_texts_stay_clean(labelled):
+    model, rows = labelled
+    clean = rows[(rows.toxic == 0) & ~rows.text.str.lower().str.contains("idiot|moron|scum|stupid|worthless|loser|clown|trash|pathetic|disgusting")]
+    for lang in ("de", "en", "es", "fr"):
+        text = "\n".join(clean[clean.lang == lang].sort_values("doc_id").text)
+        text = (text * 10)[:3_000_000]
+        assert [model.score(text[:n]) < 0.5 for n in (100_000, 400_000, 800_000, 3_000_000)] == [True] * 4
+
+
 def test_counts_over_pieces():
     text = "abcé" * 150_000 + "xyz"
     ids, counts = toxicity.counted(text)
