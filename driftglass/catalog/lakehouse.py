@@ -102,6 +102,13 @@ def sorted_dates(spark, sf_dir):
     return o.select(F.to_date("o_orderdate").cast("string").alias("dt")).distinct().orderBy("dt").limit(500)
 
 
+@query("SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt FROM orders ORDER BY 1")
+def all_sorted_dates(spark, sf_dir):
+    """Every distinct date; ``sorted_dates`` shows the first 500."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(F.to_date("o_orderdate").cast("string").alias("dt")).distinct().orderBy("dt")
+
+
 # --- planning --------------------------------------------------------------------------------------------------------
 
 _DATES = """b AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, CAST(day(ts) AS BIGINT) AS n FROM events), s AS (SELECT * FROM b WHERE n % 4 <> 0), g AS (SELECT * FROM b WHERE n % 3 = 0)"""
