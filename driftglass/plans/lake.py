@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,12 +84,34 @@ def write_marker(spark: SparkSession, markers: str, day: str, rows: int, target:
     Store(spark).write_text(f"{markers}/dt={day}/_SUCCESS", f"date={day}\nrows={rows}\ntarget={target}\ncompleted_at={now}\ncode_version={version}\n")
 
 
-def write_record(spark: SparkSession, path: str, record: dict) -> None:
+def write_record(spark: SparkSession, path: str, record: dict) -> bool:
     """A run or quality record; a failure is reported to the caller as False, never raised."""
     try:
         Store(spark).write_json(path, record)
     except Exception as e:
         print(f"record not written: {path}: {e}")
+        return False
+    return True
+
+
+def append_run(spark: SparkSession, folder: str, stage: str, day: str, record: dict, at: datetime | None = None) -> str | None:
+    """One more run record, under a name no other run has: records are added, never replaced. Its path, None on failure."""
+    now = at or datetime.now(UTC)
+    path = f"{folder}/{stage}/{day}/{now.strftime('%Y%m%dT%H%M%S%fZ')}-{uuid.uuid4().hex[:8]}.json"
+    body = {"stage": stage, "date": day, "recorded_at": now.strftime("%Y-%m-%dT%H:%M:%SZ"), **record}
+    return path if write_record(spark, path, body) else None
+
+
+def run_records(spark: SparkSession, folder: str) -> DataFrame:
+    """(stage, dt, recorded_at, status, body) of all run records, in order of their writing."""
+    store = Store(spark)
+    rows = []
+    for stage in store.list(folder):
+        for day in store.list(stage.path) if stage.is_dir else ():
+            for e in store.list(day.path):
+                body = store.read_json(e.path)
+                rows.append((stage.name, day.name, body.get("recorded_at"), body.get("status"), json.dumps(body, sort_keys=True)))
+    return spark.createDataFrame(rows, "stage string, dt string, recorded_at string, status string, body string")
 
 
 def markers_table(spark: SparkSession, markers: str) -> DataFrame:
@@ -118,27 +142,24 @@ class Crash(RuntimeError):
 
 
 def compact(spark: SparkSession, table: str, day: str, sort: list[str], target_bytes: int = TARGET_BYTES, stop_after: str = "") -> str:
-    """Rewrite a date's small files as few sorted ones: skipped, merged, finished or rolled back.
+    """Rewrite a date's small files as few sorted ones: skipped, merged or finished.
 
     Phases: stage a range-partitioned, sorted copy; compare fingerprints with the originals; write a manifest; move the
     staged files in; delete the originals; drop the manifest. A manifest left by a crash is finished if all its files are
-    in, otherwise what was moved is taken back.
+    in; otherwise what was moved is taken back and the compaction starts over.
     """
     store, folder = Store(spark), f"{table}/dt={day}"
     manifest, staging = f"{table}/_compaction/{day}.json", f"{table}/_compaction/{day}-staging"
-    if store.exists(manifest):
+    if store.has_text(manifest):
         plan = store.read_json(manifest)
-        if all(store.exists(m["final"]) for m in plan["merged"]):
-            for f in plan["originals"]:
-                store.delete(f)
-            done = "finished"
-        else:
-            for m in plan["merged"]:
-                store.delete(m["final"])
-            done = "rolled back"
+        whole = all(store.exists(m["final"]) for m in plan["merged"])
+        for f in plan["originals"] if whole else [m["final"] for m in plan["merged"]]:
+            store.delete(f)
         store.delete(staging)
         store.delete(manifest)
-        return done
+        store.delete(f"{manifest}.next")
+        if whole:
+            return "finished"
     files = data_files(spark, folder)
     n = math.ceil(sum(f.size for f in files) / target_bytes)
     if len(files) <= max(1, n):

@@ -56,7 +56,7 @@ class Registry:
         self.store, self.path = store, path
 
     def load(self) -> dict:
-        return self.store.read_json(self.path) if self.store.exists(self.path) else {"versions": [], "champion": None, "notes": []}
+        return self.store.read_json(self.path) if self.store.has_text(self.path) else {"versions": [], "champion": None, "notes": []}
 
     def record(self, metrics: dict, promote: bool, reason: str) -> dict:
         state = self.load()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -17,8 +18,12 @@ def _own_folder() -> str:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; our own only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{_own_folder()}"
+    """A new folder below spark.checkpoint.dir; only on one host (tests) our own where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{_own_folder()}"
     return f"{base.rstrip('/')}/driftglass-{uuid.uuid4().hex}"
 
 
@@ -52,27 +57,50 @@ class Store:
         found = [Entry(s.getPath().toString(), s.getPath().getName(), s.getLen(), s.getModificationTime(), s.isDirectory()) for s in fs.listStatus(p)]
         return sorted(found, key=lambda e: e.name)
 
+    def has_text(self, path: str) -> bool:
+        """Whether ``read_text`` finds something: the file, or its next version whose last step a crash left open."""
+        return self.exists(path) or self.exists(f"{path}.next")
+
     def read_text(self, path: str) -> str:
-        fs, p = self._at(path)
+        fs, p = self._at(path if self.exists(path) else f"{path}.next")
         stream = fs.open(p)
         try:
             return bytes(self.jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
         finally:
             stream.close()
 
-    def write_text(self, path: str, text: str) -> None:
-        """Whole or not at all: written beside and renamed over."""
+    def write_text(self, path: str, text: str, stop_after: str = "") -> None:
+        """Whole or not at all, on any store: ``read_text`` finds the old text until the new one is complete.
+
+        The text is written under a name of its own and renamed to ``.next``; only then does the old file go, and the new
+        one takes its place. A crash between the last two steps leaves ``.next``, which counts as the file. The .next of a
+        crash before them is older than what is written now and is replaced.
+        """
         fs, p = self._at(path)
-        side = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        path_of = self.jvm.org.apache.hadoop.fs.Path
+        side, following = path_of(f"{path}.{uuid.uuid4().hex}.tmp"), path_of(f"{path}.next")
         stream = fs.create(side, True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        if not fs.rename(side, p):
-            raise OSError(f"can't write {path}")
+        if fs.exists(following):
+            if fs.exists(p):
+                fs.delete(following, False)
+            else:
+                self._move(fs, following, p)
+        self._move(fs, side, following)
+        if stop_after == "next":
+            raise RuntimeError(stop_after)
+        fs.delete(p, False)
+        if stop_after == "delete":
+            raise RuntimeError(stop_after)
+        self._move(fs, following, p)
+
+    @staticmethod
+    def _move(fs, a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"can't write {b}")
 
     def rename(self, a: str, b: str) -> None:
         fs, p = self._at(a)

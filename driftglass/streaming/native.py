@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +36,11 @@ LATEST = "icao24 string, event_id long, snap_epoch long"
 def _latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     best = state.get if state.exists else None
     for frame in frames:
-        for event_id, snap in zip(frame["event_id"], frame["snap_epoch"], strict=True):
-            # strictly newer replaces; within one snapshot the lesser event stays
-            if best is None or snap > best[1] or (snap == best[1] and event_id < best[0]):
-                best = (int(event_id), int(snap))
+        # the newest snapshot of the frame; within one snapshot the lesser event
+        snap = int(frame["snap_epoch"].max())
+        event = int(frame.loc[frame["snap_epoch"] == snap, "event_id"].min())
+        if best is None or snap > best[1] or (snap == best[1] and event < best[0]):
+            best = (event, snap)
     state.update(best)
     yield pd.DataFrame({"icao24": [key[0]], "event_id": [best[0]], "snap_epoch": [best[1]]})
 
@@ -52,14 +54,14 @@ DECISION = "source string, snapshot long, decision string"
 
 
 def _decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    newest = state.get[0] if state.exists else None
     frame = pd.concat(list(frames)).sort_values("seq")
-    out = []
-    for snap in frame["snapshot"]:
-        out.append("send" if newest is None or snap > newest else "repeat" if snap == newest else "older")
-        newest = int(snap) if newest is None else max(newest, int(snap))
-    state.update((newest,))
-    yield pd.DataFrame({"source": key[0], "snapshot": frame["snapshot"].to_numpy(), "decision": out})
+    snap = frame["snapshot"].to_numpy(np.int64)
+    # the newest snapshot before each one: a running maximum, shifted, that begins with the state
+    first = state.get[0] if state.exists else np.iinfo(np.int64).min
+    before = np.maximum.accumulate(np.concatenate([[first], snap]))
+    out = np.select([snap > before[:-1], snap == before[:-1]], ["send", "repeat"], "older")
+    state.update((int(before[-1]),))
+    yield pd.DataFrame({"source": key[0], "snapshot": snap, "decision": out})
 
 
 def decisions(df: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def test_compaction_recovers(spark, folder, crash):
     try:
         lake.compact(spark, f"{folder}/b", "2024-01-01", stop_after=crash, **kw)
     except lake.Crash:
-        assert lake.compact(spark, f"{folder}/b", "2024-01-01", **kw) == ("finished" if crash == "moves" else "rolled back")
+        assert lake.compact(spark, f"{folder}/b", "2024-01-01", **kw) == ("finished" if crash == "moves" else "merged")
     while lake.compact(spark, f"{folder}/b", "2024-01-01", **kw) == "merged":
         pass
     got = spark.read.parquet(f"{folder}/b/dt=2024-01-01")
@@ -74,6 +74,47 @@ def test_compaction_recovers(spark, folder, crash):
     assert not Store(spark).exists(f"{folder}/b/_compaction/2024-01-01.json")
 
 
+@pytest.mark.parametrize("crash", ["manifest", "first move", "moves"])
+def test_daily_run_after_a_crashed_compaction(spark, folder, crash):
+    """The date of a crashed compaction is compacted by the next daily run, and only then marked."""
+    lake.append_cold(reports(spark, [(DAY + k, DAY + k) for k in range(200)]), f"{folder}/bronze")
+    for k in range(5):
+        lake.append_cold(reports(spark, [(DAY + 300 + k, DAY + 300 + k)]), f"{folder}/bronze")
+    try:
+        lake.compact(spark, f"{folder}/bronze", "2024-01-01", ["icao24", "timestamp"], target_bytes=8000, stop_after=crash)
+    except lake.Crash:
+        pass
+    paths = [f"{folder}/{x}" for x in ("bronze", "silver", "gold", "markers")]
+    out = medallion.run_daily(spark, *paths, "2024-01-02", "v1")
+    assert {r["status"] for r in out["merge"]} <= {"merged", "finished", "skipped"}
+    assert lake.completed_dates(spark, f"{folder}/markers/merge") == {"2024-01-01"}
+    names = [e.name for e in lake.data_files(spark, f"{folder}/bronze/dt=2024-01-01")]
+    assert names and all(n.startswith("merged-") for n in names) and lake.read_date(spark, f"{folder}/bronze", "2024-01-01").count() == 205
+
+
+@pytest.mark.parametrize("crash", ["next", "delete"])
+def test_text_survives_a_crash_between_its_steps(spark, folder, crash):
+    store, path = Store(spark), f"{folder}/pointer.json"
+    assert not store.has_text(path)
+    store.write_text(path, "one")
+    with pytest.raises(RuntimeError):
+        store.write_text(path, "two", stop_after=crash)
+    assert store.has_text(path) and store.read_text(path) == ("one" if crash == "next" else "two")
+    store.write_text(path, "three")
+    assert store.read_text(path) == "three" and not store.exists(f"{path}.next")
+
+
+def test_run_records_are_added(spark, folder):
+    for status in ("failed", "success"):
+        assert lake.append_run(spark, f"{folder}/runs", "silver", "2024-01-01", {"status": status})
+    got = lake.run_records(spark, f"{folder}/runs").collect()
+    assert [(r.stage, r.dt, r.status) for r in got] == [("silver", "2024-01-01", "failed"), ("silver", "2024-01-01", "success")]
+    assert lake.run_records(spark, f"{folder}/none").count() == 0
+    spark.range(1).write.parquet(f"{folder}/taken")
+    assert lake.write_record(spark, f"{folder}/ok.json", {}) is True
+    assert lake.write_record(spark, f"{folder}/ok.json/below.json", {}) is False
+
+
 def test_dates_skip_bad_names(spark, folder):
     for name in ("dt=2024-01-01", "dt=2024-13-01", "dt=x", "other"):
         spark.range(1).write.parquet(f"{folder}/t/{name}")

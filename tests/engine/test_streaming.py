@@ -8,6 +8,7 @@ from driftglass.catalog import streams
 from driftglass.catalog.states import states
 from driftglass.operators import dedup
 from driftglass.sources.poll import SnapshotSource
+from driftglass.sources.streams import file_stream
 from driftglass.streaming import progress, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -30,6 +31,85 @@ def test_hot_sink_equals_batch(spark, tmp_path, files):
     assert 0 < sink.vacuum(newest) < before[1] and sink.history().agg(F.min("snap_epoch")).first()[0] >= newest - 86_400
 
 
+def batch_of(spark, rows):
+    """(icao24, event time, snapshot) as valid reports."""
+    df = spark.createDataFrame(rows, "icao24 string, time_position long, snap_epoch long")
+    return df.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0), "event_id": F.monotonically_increasing_id()})
+
+
+def test_readers_of_the_last_pointer_keep_their_files(spark, tmp_path):
+    sink = sinks.HotSink(spark, f"file://{tmp_path}/hot", "snap_epoch", ties=["event_id"], keep_s=100)
+    sink.write(batch_of(spark, [("a", 1, 1), ("b", 1, 1)]), 0)
+    old_latest, old_history = sink.latest(), sink.history()
+    sink.write(batch_of(spark, [("a", 900, 900)]), 1)  # the first part leaves the history with this batch
+    assert old_latest.count() == 2 and old_history.count() == 2 and sink.history().count() == 1
+    sink.write(batch_of(spark, [("a", 901, 901)]), 2)
+    assert sink.latest().count() == 2 and sink.history().count() == 2 and not sink.store.exists(f"file://{tmp_path}/hot/history/0")
+
+
+def test_history_reads_only_parts_that_can_hold_a_report(spark, tmp_path):
+    sink = sinks.HotSink(spark, f"file://{tmp_path}/hot", "snap_epoch", ties=["event_id"], most_parts=4)
+    for k in range(4):
+        sink.write(batch_of(spark, [("a", 100 * k, 100 * k), ("a", 100 * k + 5, 100 * k)]), k)
+    sink.store.delete(f"file://{tmp_path}/hot/history/0")  # not read again: its times are far off
+    parts = sink.pointer()["history"]
+    sink.store.write_json(f"{sink.folder}/pointer.json", {**sink.pointer(), "history": parts[1:]})
+    sink.write(batch_of(spark, [("a", 205, 500), ("a", 301, 500)]), 9)  # 205 is a repeat out of order
+    assert sorted(r.time_position for r in sink.history().collect()) == [100, 105, 200, 205, 300, 301, 305]
+    assert len(sink.pointer()["history"]) == 4
+    sink.write(batch_of(spark, [("b", 1, 501)]), 10)
+    assert len(sink.pointer()["history"]) == 1 and sink.history().count() == 8
+
+
+@pytest.mark.parametrize("crash", ["next", "delete"])
+def test_pointer_survives_a_crash(spark, tmp_path, crash, monkeypatch):
+    sink = sinks.HotSink(spark, f"file://{tmp_path}/hot", "snap_epoch", ties=["event_id"], waits=())
+    sink.write(batch_of(spark, [("a", 1, 1)]), 0)
+    whole = sink.store.write_text
+    monkeypatch.setattr(sink.store, "write_text", lambda path, text: whole(path, text, crash if path.endswith("pointer.json") else ""))
+    with pytest.raises(RuntimeError):
+        sink.write(batch_of(spark, [("b", 2, 2)]), 1)
+    again = sinks.HotSink(spark, sink.folder, "snap_epoch", ties=["event_id"])
+    assert again.latest().count() == (1 if crash == "next" else 2)
+    again.write(batch_of(spark, [("b", 2, 2)]), 1)  # the replay
+    assert again.latest().count() == 2 and again.history().count() == 2
+
+
+def test_retention_runs_when_due(spark, tmp_path):
+    now = [1000.0]
+    sink = sinks.HotSink(spark, f"file://{tmp_path}/hot", "snap_epoch", ties=["event_id"], keep_s=2100, latest_keep_s=1800)
+    job = sinks.Retention(sink, 600, lambda: now[0])
+    assert job.due() == 0  # nothing written yet
+    sink.write(batch_of(spark, [("a", 100, 100), ("b", 1500, 1500)]), 0)
+    now[0] = 1200.0
+    assert job.due() is None
+    now[0] = 2250.0
+    assert job.due() == 1 and [r.icao24 for r in sink.latest().collect()] == ["b"]
+    sink.write(batch_of(spark, [("a", 2300, 2300)]), 1)
+    assert sink.latest().count() == 2 and sink.history().count() == 2
+
+
+def test_supervise_tells_the_error(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    assert sinks.fresh_checkpoint(spark, f"{folder}/cp")
+
+    def fail(df, k):
+        raise ValueError("broken sink")
+
+    good = sinks.start(spark.readStream.format("rate").load(), lambda df, k: None, f"{folder}/cp2", "1 second")
+    bad = sinks.start(streams.feed(spark, SF, folder), fail, f"{folder}/cp", "0 seconds")
+    try:
+        assert "broken sink" in sinks.supervise([good, bad], 60, 0.1)
+        assert sinks.supervise([good], 0.3, 0.1) is None
+    finally:
+        good.stop()
+    assert sinks.supervise([good], 5, 0.1) is None
+    spark.range(3).write.parquet(f"{folder}/in")
+    done = sinks.start(file_stream(spark, f"{folder}/in", "id long"), lambda df, k: None, f"{folder}/cp3")
+    done.awaitTermination()
+    assert not sinks.fresh_checkpoint(spark, f"{folder}/cp3")
+
+
 def test_retry_reports_and_gives_up():
     tries, log = [], []
 
@@ -77,7 +157,6 @@ def test_progress_gaps_and_skips(spark):
 
 
 def test_predictions_meet_their_truth_or_expire(spark, tmp_path):
-    from driftglass.sources.streams import file_stream
     from driftglass.streaming import native
 
     ts = F.timestamp_seconds
