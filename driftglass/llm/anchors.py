@@ -11,7 +11,7 @@ import numpy as np
 
 from driftglass.llm.blocks import mix
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 PLACE = np.uint64((1 << 24) - 1)
 BASE = 0x9E3779B97F4A7C15
 

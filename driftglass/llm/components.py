@@ -30,5 +30,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         drop_folder(spark, f"{folder}/round-{k - 1}")
         labels = new.drop("moved")
         if done:
+            drop_folder(spark, f"{folder}/edges")
             return labels
     raise RuntimeError("components did not settle")

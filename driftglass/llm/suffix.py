@@ -13,11 +13,13 @@ Every byte under a ``span``-byte string that also starts elsewhere is removed. M
    digests of their windows over hash buckets, where each shard's are searched in the others' by binary search, and get
    back which are known elsewhere.
 
-Texts are named by two digests (96 bits) and handled once, whatever the number of their rows.
+Texts are named by two digests (96 bits), stored once in buckets of that name, and handled once, whatever the number of
+their rows.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``span`` lose nothing; all rows of a repeated text
-of at least ``span`` bytes lose it all; rows with equal doc_id are rows of their own; extra columns are not read; an empty
-table gives an empty result.
+of at least ``span`` bytes lose it all; rows with equal doc_id are rows of their own; a null doc_id is kept; extra columns
+are not read, and those named like a result are replaced; an empty table gives an empty result; a very long text is cut
+into anchors a megabyte at a time, and only its repeated slices leave its task.
 """
 
 from __future__ import annotations
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.anchors import window_anchors
 from driftglass.llm.blocks import bucket_count, by_bucket, dealt, rows_of
-from driftglass.llm.shared import batch, keep, shared_dir, tidied
+from driftglass.llm.shared import batch, drop_folder, keep, keep_bucketed, shared_dir, tidied
 
-SHARD_BYTES = 2 << 20
+#: A task sorts so many bytes at once: each takes some 150 bytes of arrays.
+SHARD_BYTES = 1 << 19
 
 
 def suffix_array(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,35 +246,40 @@ def _told(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBat
         yield _spans(rows, at[found], owner[found], span)
 
 
-def repeated_spans(docs: DataFrame, span: int = 400, k: int = 200, group: int = 4096, folder: str | None = None) -> DataFrame:
-    """(t1, t2, lo, end): stored byte spans to remove, per distinct text; see ``named`` for t1 and t2."""
-    folder = folder or shared_dir(docs.sparkSession)
-    texts = named(docs).select("t1", "t2", "text")
-    found = keep(texts.mapInArrow(tidied(partial(_anchors, span=span, k=k)), "h long, digest long, t1 long, t2 long, lo long, hi long"), f"{folder}/anchors")
+def distinct_texts(docs: DataFrame, folder: str) -> DataFrame:
+    """(t1, t2, text, copies) of every distinct text of ``docs``, stored in buckets of its name: the one shuffle of texts."""
+    texts = named(docs).select("t1", "t2", "text").groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return keep_bucketed(texts, f"{folder}/texts", "t1", "t2")
+
+
+def repeated_spans(texts: DataFrame, folder: str, span: int = 400, k: int = 200, group: int = 1024) -> DataFrame:
+    """(t1, t2, lo, end): stored byte spans of ``texts`` (see ``distinct_texts``) that start elsewhere in them, too."""
+    spark = texts.sparkSession
+    found = keep(texts.select("t1", "t2", "text").mapInArrow(tidied(partial(_anchors, span=span, k=k)), "h long, digest long, t1 long, t2 long, lo long, hi long"), f"{folder}/anchors")
     heads = found.groupBy("h").agg(F.count("*").alias("n"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("n > 1")
     # stored, so that the join has exchanges of its own and a hot anchor's partition can be split
     heads = keep(heads.select("h", (F.col("d0") < F.col("d1")).alias("mixed")), f"{folder}/heads")
     again = keep(found.join(heads, "h"), f"{folder}/again")
+    drop_folder(spark, f"{folder}/anchors", f"{folder}/heads")
     slices = again.where("mixed").groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("one"))
     slices = keep(slices, f"{folder}/slices")
     whole = again.where("not mixed").select("t1", "t2", "lo", (F.col("hi") + span).alias("end"))
     copies = again.where("mixed").join(slices.where("n > 1").select("h", "digest"), ["h", "digest"]).select("t1", "t2", "lo", (F.col("hi") + span).alias("end"))
 
-    many = slices.groupBy("h").agg(F.count("*").alias("kinds"))
+    many = keep(slices.groupBy("h").agg(F.count("*").alias("kinds")), f"{folder}/many")
     parts = F.ceil(F.col("kinds") / F.lit(group)).cast("long")
     wanted = slices.join(many, "h").select("h", "one.*", (F.col("n") == 1).alias("open"), (parts > 1).alias("salted"), F.concat_ws("/", "h", F.pmod("digest", parts)).alias("shard"))
     wanted = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("h", "lo", "hi", "open", "salted", "shard")).alias("slices"))
-    once = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    cut = once.join(wanted, ["t1", "t2"]).mapInArrow(tidied(partial(_cut, span=span)), "h long, shard string, t1 long, t2 long, lo long, open boolean, salted boolean, raw binary")
+    cut = texts.join(wanted, ["t1", "t2"]).mapInArrow(tidied(partial(_cut, span=span)), "h long, shard string, t1 long, t2 long, lo long, open boolean, salted boolean, raw binary")
     cut = cut.repartition("shard").sortWithinPartitions("shard", "t1", "t2", "lo")
-    salted = slices.groupBy("h").count().where(F.col("count") > group).limit(1).count() > 0
+    salted = many.where(F.col("kinds") > group).limit(1).count() > 0
     if salted:
         cut = keep(cut, f"{folder}/cut")
     schema = "t1 long, t2 long, lo long, end long"
     near = keep(cut.mapInArrow(tidied(partial(_repeated, span=span)), schema), f"{folder}/near")
     out = whole.union(copies).union(near)
     if salted:
-        buckets = bucket_count(docs)
+        buckets = bucket_count(texts)
         hot = cut.where("salted").repartition("shard").sortWithinPartitions("shard", "t1", "t2", "lo")
         asked = hot.mapInArrow(tidied(partial(_ask, span=span, buckets=buckets)), "bucket int, block string, digests binary")
         told = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_answer), "shard string, known binary").groupBy("shard").agg(F.collect_list("known").alias("known"))
@@ -286,36 +294,52 @@ def named(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", text).withColumns({"t1": F.xxhash64("text"), "t2": F.crc32(F.col("text").cast("binary"))})
 
 
-def _kept(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
+def runs_to_remove(raw: bytes, spans: list[tuple[int, int]], least_words: int, least_bytes: int) -> list[tuple[int, int]]:
+    """Maximal runs of ``spans`` that have ``least_words`` words or ``least_bytes`` bytes (both 0: all)."""
+    runs: list[list[int]] = []
+    for lo, end in sorted(spans):
+        if runs and lo <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], end)
+        else:
+            runs.append([lo, end])
+    return [(lo, end) for lo, end in runs if end - lo >= least_bytes or len(raw[lo:end].split()) >= least_words]
+
+
+def _kept(batches: Iterator[pa.RecordBatch], texts: bool, span: int, least_words: int, least_bytes: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: dict[str, list] = {c: [] for c in ("t1", "t2", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
         for row in rows_of([b]):
-            raw, digest, at, spans, parts = row["text"].encode(), hashlib.sha256(), 0, 0, []
-            end = -1
-            for s in sorted(row["spans"] or [], key=lambda s: (s["lo"], s["end"])):
-                if s["lo"] > end:
-                    spans += 1
-                    parts.append(raw[max(end, 0) : s["lo"]])
-                end = max(end, s["end"])
-            parts.append(raw[max(end, 0) :])
+            raw, digest, parts, at = row["text"].encode(), hashlib.sha256(), [], 0
+            again = [(s["lo"], s["end"]) for s in row["spans"] or []]
+            if row["copies"] > 1 and len(raw) >= span:
+                again = [(0, len(raw))]
+            runs = runs_to_remove(raw, again, least_words, least_bytes)
+            for lo, end in runs:
+                parts.append(raw[at:lo])
+                at = end
+            parts.append(raw[at:])
+            left = sum(map(len, parts))
             for p in parts:
                 digest.update(p)
-                at += len(p)
-            for c, v in (("t1", row["t1"]), ("t2", row["t2"]), ("n_bytes", len(raw)), ("n_removed", len(raw) - at), ("n_spans", spans), ("kept_sha256", digest.hexdigest())):
+            for c, v in (("t1", row["t1"]), ("t2", row["t2"]), ("n_bytes", len(raw)), ("n_removed", len(raw) - left), ("n_spans", len(runs)), ("kept_sha256", digest.hexdigest())):
                 out[c].append(v)
-            out["kept"].append(b"".join(parts).decode(errors="ignore") if texts and at < len(raw) else None)
+            out["kept"].append(b"".join(parts).decode(errors="ignore") if texts and runs else None)
         yield batch(**{c: pa.array(v, pa.string() if c in ("kept_sha256", "kept") else pa.int64()) for c, v in out.items()})
 
 
-def remove_repeats(docs: DataFrame, span: int = 400, k: int = 200, group: int = 4096, texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 400, k: int = 200, group: int = 1024, texts: bool = False, least_words: int = 0, least_bytes: int = 0) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept: what is left of a text that lost
     something, null for the others. ``kept`` drops the bytes of a character that was cut apart.
+
+    Of the maximal runs of repeated windows only those with ``least_words`` words or ``least_bytes`` bytes go (both 0: all).
     """
-    folder = shared_dir(docs.sparkSession)
-    spans = repeated_spans(docs, span, k, group, folder).groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "end")).alias("spans"))
-    once = named(docs).groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    spark, folder = docs.sparkSession, shared_dir(docs.sparkSession)
+    once = distinct_texts(docs, folder)
+    spans = repeated_spans(once, folder, span, k, group).groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "end")).alias("spans"))
     schema = "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    left = keep(once.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "spans").mapInArrow(tidied(partial(_kept, texts=texts)), schema), f"{folder}/left")
+    told = once.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "copies", "spans")
+    left = keep(told.mapInArrow(tidied(partial(_kept, texts=texts, span=span, least_words=least_words, least_bytes=least_bytes)), schema), f"{folder}/left")
+    drop_folder(spark, *(f"{folder}/{name}" for name in ("texts", "again", "slices", "many", "cut", "near", "far")))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
     rows = named(docs.drop(*(c for c in ("t1", "t2", *names) if c in docs.columns))).drop(*([] if texts else ["text"]))
     return rows.join(left.select("t1", "t2", *names), ["t1", "t2"]).drop("t1", "t2")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftglass.llm.sample import labelled_sample, prior_shift
-from driftglass.llm.shared import batch, crc_remainder, keep, shared_dir, tidied
+from driftglass.llm.shared import batch, crc_remainder, drop_folder, keep, shared_dir, tidied
 
 ORDERS, PIECE, FLOOR, SLOT_BITS = (3, 4, 5), 1 << 18, 300, 20
 
@@ -127,7 +127,7 @@ def _documents_with(ids: list[np.ndarray], labels: list[int]) -> pa.RecordBatch:
     return batch(id=pa.array(there), c0=pa.array(np.bincount(inverse, minlength=len(there)) - toxic), c1=pa.array(toxic))
 
 
-def _count(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     ids, labels, n = [], [], 0
     for b in batches:
         for x, v in zip(b.column(0), b.column(1).to_pylist(), strict=True):
@@ -196,7 +196,8 @@ def fit(rows: Iterable[tuple[np.ndarray, np.ndarray, int]], ids: np.ndarray, rat
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", per_class: int = 4000) -> Model:
     """Fit on a bounded sample. Only telling n-grams of its documents come to the driver, a few kilobytes each."""
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
-    features = keep(sample.mapInArrow(tidied(_collect_features), "ids binary, counts binary, label int"), f"{shared_dir(docs.sparkSession)}/features")
+    folder = shared_dir(docs.sparkSession)
+    features = keep(sample.mapInArrow(tidied(_collect_features), "ids binary, counts binary, label int"), f"{folder}/features")
     n = {r["label"]: r["count"] for r in features.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
@@ -204,7 +205,9 @@ def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", per_c
         return Model(np.zeros(0, np.int64), np.zeros(0), math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     ids, ratio = telling_grams(features, n0, n1)
     rows = features.mapInArrow(tidied(partial(_keep_telling, telling=ids)), "places binary, rates binary, label int").toLocalIterator()  # a part at a time
-    return fit(((np.frombuffer(r.places, np.int32), np.frombuffer(r.rates, np.float32), r.label) for r in rows), ids, ratio, prior_shift(totals, n0, n1))
+    model = fit(((np.frombuffer(r.places, np.int32), np.frombuffer(r.rates, np.float32), r.label) for r in rows), ids, ratio, prior_shift(totals, n0, n1))
+    drop_folder(docs.sparkSession, f"{folder}/features")
+    return model
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,6 @@ import corpus_pipeline
 from driftglass.llm import toxicity
 from tests.llm.test_jaccard import words_of
 from tests.llm.test_native import brute_hits
-from tests.llm.test_suffix import brute as brute_suffix
 from tests.llm.test_tokens_packing import check_layout
 
 SF = "/root/testdata/sf0.001"
@@ -50,11 +49,24 @@ def test_near_duplicates_stage(stages):
 
 
 def test_repeats_stage(stages):
-    want = {d: (n, gone) for d, n, gone, _, _ in brute_suffix([(d, r.text) for d, r in stages[2].items()], 400)}
-    assert set(stages[3]) == {d for d, (n, gone) in want.items() if gone == 0 or gone < n}
-    for d, r in stages[3].items():
-        assert (r.text == stages[2][d].text) == (want[d][1] == 0)
-        assert r.n_chars == len(r.text)
+    before = {d: (r.text or "").encode() for d, r in stages[2].items()}
+    at = collections.Counter(b[k : k + 150] for b in before.values() for k in range(len(b) - 149))
+    want = {}
+    for d, b in before.items():
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - 149):
+            if at[b[k : k + 150]] > 1:
+                gone[k : k + 150] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], gone])))
+        runs = [(x, y) for x, y in zip(edges[::2], edges[1::2]) if y - x >= 400 or len(b[x:y].split()) >= 51]
+        keep = np.ones(len(b), bool)
+        for x, y in runs:
+            keep[x:y] = False
+        want[d] = bytes(np.frombuffer(b, np.uint8)[keep]).decode(errors="ignore") if runs else stages[2][d].text
+        if runs and keep.sum() == 0:
+            del want[d]
+    assert {d: r.text for d, r in stages[3].items()} == want and want != {d: r.text for d, r in stages[2].items()}
+    assert all(r.n_chars == len(r.text) for r in stages[3].values())
 
 
 def test_decontamination_stage(spark, stages):

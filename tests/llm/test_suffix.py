@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from driftglass.llm import suffix
+from driftglass.llm import registry, suffix
 from driftglass.llm.anchors import sliding_min, window_anchors
 
 
@@ -85,3 +85,20 @@ def test_against_brute_force(spark, group):
 
 def test_empty(spark):
     assert suffix.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_runs_by_words_or_bytes():
+    raw = b"one two three four " + b"x" * 30 + b" five six"
+    spans = [(0, 8), (4, 18), (19, 49), (53, 58)]
+    assert suffix.runs_to_remove(raw, spans, 0, 0) == [(0, 18), (19, 49), (53, 58)]
+    assert suffix.runs_to_remove(raw, spans, 4, 30) == [(0, 18), (19, 49)]
+    assert suffix.runs_to_remove(raw, spans, 4, 31) == [(0, 18)]
+    assert suffix.runs_to_remove(raw, [], 4, 31) == []
+
+
+def test_query_against_brute_force(spark):
+    """op9 itself, at its 400 bytes, over whole documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    got = registry.op9_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
+    want = brute([(r.doc_id, r.text) for r in docs], 400)
+    assert sorted(map(tuple, got), key=str) == want and sum(r[2] for r in want) > 0
