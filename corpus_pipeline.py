@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 
 1. toxicity: documents the classifier predicts toxic go. It learns from all labels.
 2. near_duplicates: word 5-grams, Jaccard similarity of 0.8 or more; of every group the row with the least doc_id stays.
-3. repeats: bytes under 400-byte strings that start more than once are removed; a text that is removed whole goes.
+3. repeats: bytes under 150-byte strings that start more than once are removed where they make a run of over 50 words or
+   of 400 bytes; a text that is removed whole goes. (op9 by itself takes 400 bytes; passages of 51 words are mostly shorter.)
 4. decontamination: documents with a 10-word window of a benchmark item go.
 5. packing: what is left is cut into pieces and packed into sequences of 1024 tokens, with the token ids.
 
@@ -34,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = suffix.remove_repeats(docs.select(COLUMNS), texts=True)
+    cleaned = suffix.remove_repeats(docs.select(COLUMNS), span=150, k=60, texts=True, least_words=51, least_bytes=400)
     left = cleaned.where("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
