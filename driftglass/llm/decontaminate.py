@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import keep, shared_dir
+from driftglass.llm.shared import keep, shared_dir, unused
 
 CUT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
@@ -107,8 +107,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
 def clean_rows(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without a benchmark window, as they are (equal texts share their fate)."""
     spark = docs.sparkSession
+    own = unused(docs, "name")
     name = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     # a digest as the id: whether a row goes depends on its text alone
     marked = contamination(docs.select(name.alias("doc_id"), "text"), benchmark, **options)
-    bad = keep(marked.where("contaminated").select(F.col("doc_id").alias("_name")).distinct(), f"{shared_dir(spark)}/contaminated")
-    return docs.withColumn("_name", name).join(small(bad, options.get("bound", 200_000)), "_name", "left_anti").select(*docs.columns)
+    bad = keep(marked.where("contaminated").select(F.col("doc_id").alias(own)).distinct(), f"{shared_dir(spark)}/contaminated")
+    return docs.withColumn(own, name).join(small(bad, options.get("bound", 200_000)), own, "left_anti").select(*docs.columns)

@@ -8,14 +8,17 @@
 3. Sets that share a prefix shingle form a candidate group. A group of at most ``group`` sets is searched in one task:
    inverted lists per shingle; the required overlap T of a query gives how many of its longest lists may be left out of
    the merge (L < T); sets found T - L times in the short lists are probed in the long ones by binary search.
-4. A larger group is first contracted: all its sets are matched with a few landmark sets; then every set outside the
-   largest part is searched against all blocks of the group, in tasks of bounded size. No pair that could link two
-   parts is left out; pairs inside one part are already known to be connected.
+4. Larger groups, which chains of unrelated sets may form, are not searched as such but by prefix shingle. First every
+   set is matched with the least named set of each of its shingles; that contracts groups of copies to parts. Then, under
+   each shingle whose sets are of several parts, the sets outside its largest part are searched against all of them, in
+   tasks of bounded size. Shingles with the same sets are searched once. A pair that links has a prefix shingle in common,
+   so no link between two parts is left out; pairs inside one part are already known to be connected.
 5. Links give components; a class's id is the smallest doc_id in it.
 
 Defined cases: null, empty and blank texts have no shingles and no links (component_id is their own doc_id); a text of
 fewer words than the shingle is one shingle of all its words; rows with equal doc_id are rows of their own; a null
-doc_id is ignored in the minimum; extra columns are not read; an empty table gives an empty result.
+doc_id is ignored in the minimum; extra columns are not read; an empty table gives an empty result; a very long text is
+a block of its own, read a few megabytes at a time, and one set of shingles.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from driftglass.llm.blocks import Block, bucket_count, by_bucket, dealt, mix, rows_of, word_blocks
 from driftglass.llm.components import connected_components
-from driftglass.llm.shared import batch, keep, keep_bucketed, shared_dir, tidied
+from driftglass.llm.shared import batch, drop_folder, keep, keep_bucketed, shared_dir, tidied, unused
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 KEY_BITS = np.uint64(24)
@@ -207,52 +210,77 @@ def search_tasks(rows: DataFrame, percent: int) -> DataFrame:
     return dealt_rows.mapInArrow(tidied(partial(_search, percent=percent)), "a binary, b binary")
 
 
-def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000, landmarks: int = 8) -> DataFrame:
-    """(name, root) for every set with a link; ``sets`` has name, n, shingles and marks (prefix shingles), stored."""
-    spark = sets.sparkSession
+def small_group_links(members: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Links within candidate groups that fit a task each."""
+    rows = members.select(F.hex("grp").alias("task"), "name", F.col("name").alias("part"), F.lit(True).alias("asks"), "shingles")
+    return keep(search_tasks(rows, percent), f"{folder}/links-small")
+
+
+def large_group_links(members: DataFrame, percent: int, folder: str, group: int) -> DataFrame:
+    """Links that connect what is connected among the sets of larger groups, by prefix shingle."""
+    spark, half = members.sparkSession, F.lit(max(1, group // 2))
+
+    def cells(column: str):
+        return F.greatest(F.lit(1), F.ceil(F.col(column) / half).cast("int"))
+
+    def cell(column: str, seed: int):
+        return F.pmod(F.xxhash64("name", F.lit(seed)), cells(column).cast("long")).cast("int")
+
+    def each(column: str):
+        return F.explode(F.sequence(F.lit(0), cells(column) - 1))
+
+    def searched(refs: DataFrame, name: str) -> DataFrame:
+        """Links of tasks given as (task, name, part, asks); the shingles join them here."""
+        return keep(search_tasks(refs.join(members.select("name", "shingles"), "name"), percent), f"{folder}/links-{name}")
+
+    postings = keep(members.select("name", F.explode("marks").alias("mark")), f"{folder}/postings")
+    heads = postings.groupBy("mark").agg(F.min("name").alias("head"), F.max("name").alias("last")).where("head < last")
+    # stored tables on either side of a join, so that a hot shingle's or head's partition can be split
+    heads = keep(heads.select("mark", "head"), f"{folder}/heads")
+    stars = keep(postings.join(heads, "mark").where("name != head").select("head", "name").distinct(), f"{folder}/stars")
+    sizes = keep(stars.groupBy("head").agg(F.count("*").alias("n")), f"{folder}/star-sizes")
+    at = F.concat_ws("/", F.hex("head"), "cell").alias("task")
+    lead = sizes.withColumn("cell", each("n")).select(at, F.col("head").alias("name"), F.col("head").alias("part"), F.lit(True).alias("asks"))
+    rest = stars.join(sizes, "head").withColumn("cell", cell("n", 7)).select(at, "name", F.col("name").alias("part"), F.lit(False).alias("asks"))
+    star = searched(lead.union(rest), "star")
+    alone = members.select(F.col("name").alias("a"), F.col("name").alias("b"))
+    parts = connected_components(star.union(alone)).select(F.col("v").alias("name"), F.col("label").alias("part"))
+
+    placed = keep(postings.join(keep(parts, f"{folder}/parts"), "name"), f"{folder}/placed")
+    drop_folder(spark, *(f"{folder}/{x}" for x in ("postings", "heads", "stars", "star-sizes", "parts")))
+    kind = [F.sum(F.xxhash64("name", F.lit(k)).cast("decimal(38,0)")).alias(f"k{k}") for k in (1, 2)]
+    lists = placed.groupBy("mark").agg(F.count("*").alias("members"), F.min("part").alias("p0"), F.max("part").alias("p1"), *kind).where("p0 < p1")
+    once = keep(lists.groupBy("members", "k1", "k2").agg(F.min("mark").alias("mark")).select("mark", "members"), f"{folder}/lists")
+    mixed = keep(placed.join(once, "mark"), f"{folder}/mixed")
+    shares = mixed.groupBy("mark", "members", "part").agg(F.count("*").alias("size"))
+    main = shares.groupBy("mark", "members").agg(F.max(F.struct("size", "part")).alias("top"))
+    main = keep(main.select("mark", F.col("top.part").alias("main"), (F.col("members") - F.col("top.size")).alias("asking")), f"{folder}/main")
+    rows = mixed.join(main, "mark").withColumn("asks", F.col("part") != F.col("main"))
+    task = F.concat_ws("/", "mark", "query_cell", "cell").alias("task")
+    target = rows.withColumn("cell", cell("members", 7)).withColumn("query_cell", each("asking"))
+    query = rows.where("asks").withColumn("query_cell", cell("asking", 11)).withColumn("cell", each("members"))
+    # a set that both asks and is asked in a task is there once
+    refs = target.select(task, "name", "part", F.lit(False).alias("asks")).union(query.select(task, "name", "part", F.lit(True).alias("asks")))
+    return star.union(searched(refs.groupBy("task", "name", "part").agg(F.max("asks").alias("asks")), "rest"))
+
+
+def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000) -> DataFrame:
+    """(name, root) for every set with a link; ``sets`` (name, n, shingles and marks, its prefix shingles) is the stage table
+    ``sets`` below ``folder``, dropped when it is not needed any more."""
     postings = sets.select("name", F.explode("marks").alias("mark"))
     heads = postings.groupBy("mark").agg(F.min("name").alias("head"), F.max("name").alias("last")).where("head < last").drop("last")
     near = postings.join(heads, "mark").where("name != head").select(F.col("name").alias("a"), F.col("head").alias("b")).distinct()
     groups = connected_components(near).select(F.col("v").alias("name"), F.col("label").alias("grp"))
     sized = groups.join(groups.groupBy("grp").agg(F.count("*").alias("members")), "grp")
-    members = keep(sets.select("name", "n", "shingles").join(sized, "name"), f"{folder}/members")
-    small = members.where(F.col("members") <= group).select(F.col("grp").alias("task"), "name", F.col("name").alias("part"), F.lit(True).alias("asks"), "shingles")
-    links = keep(search_tasks(small, percent), f"{folder}/links-small")
-
+    members = keep(sets.select("name", "shingles", "marks").join(sized, "name"), f"{folder}/members")
+    drop_folder(sets.sparkSession, f"{folder}/sets")
+    links = small_group_links(members.where(F.col("members") <= group), percent, folder)
     large = members.where(F.col("members") > group)
     if large.limit(1).count():
-        # cells of bounded size: a salt per group, as many as its members or its asking members need
-        half = F.lit(max(1, group // 2))
-
-        def cells(column: str):
-            return F.ceil(F.col(column) / half).cast("int")
-
-        def dealt_over(column: str, seed: int):
-            return F.pmod(F.xxhash64("name", F.lit(seed)), cells(column).cast("long")).cast("int")
-
-        # landmarks: the set with the smallest name of each salt, a bounded number per group; every cell meets all of them
-        salted = large.groupBy("grp", F.pmod(F.xxhash64("name"), F.lit(landmarks)).alias("nth")).agg(F.min(F.struct("name", "shingles")).alias("one"), F.max("members").alias("members"))
-        at = F.concat_ws("/", F.hex("grp"), "cell").alias("task")
-        marks = salted.select("grp", "one.*", F.explode(F.sequence(F.lit(0), cells("members") - 1)).alias("cell"))
-        marks = marks.select(at, "name", F.col("name").alias("part"), F.lit(True).alias("asks"), "shingles")
-        others = large.withColumn("cell", dealt_over("members", 7)).select(at, "name", F.col("name").alias("part"), F.lit(False).alias("asks"), "shingles")
-        star = keep(search_tasks(others.union(marks), percent), f"{folder}/links-star")
-        parts = connected_components(star.union(large.select(F.col("name").alias("a"), F.col("name").alias("b")))).select(F.col("v").alias("name"), F.col("label").alias("part"))
-        placed = large.join(parts, "name")
-        share = placed.groupBy("grp", "part").agg(F.count("*").alias("size"))
-        main = share.groupBy("grp").agg(F.max(F.struct("size", "part")).alias("top")).select("grp", F.col("top.part").alias("main"))
-        placed = placed.join(main, "grp").withColumn("asks", F.col("part") != F.col("main"))
-        placed = keep(placed.withColumn("cell", dealt_over("members", 7)), f"{folder}/placed")
-        asking = placed.where("asks").groupBy("grp").agg(F.count("*").alias("asking"))
-        task = F.concat_ws("/", F.hex("grp"), "query_cell", "cell").alias("task")
-        target = placed.join(asking, "grp").withColumn("query_cell", F.explode(F.sequence(F.lit(0), cells("asking") - 1)))
-        target = target.select(task, "name", "part", F.lit(False).alias("asks"), "shingles")
-        query = placed.where("asks").join(asking, "grp").withColumn("query_cell", dealt_over("asking", 11))
-        query = query.withColumn("cell", F.explode(F.sequence(F.lit(0), cells("members") - 1)))
-        query = query.select(task, "name", "part", F.lit(True).alias("asks"), "shingles")
-        rest = keep(search_tasks(target.union(query), percent), f"{folder}/links-rest")
-        links = links.union(star).union(rest)
-    return connected_components(links).select(F.col("v").alias("name"), F.col("label").alias("root"))
+        links = links.union(large_group_links(large, percent, folder, group))
+    roots = connected_components(links)
+    drop_folder(sets.sparkSession, *(f"{folder}/{x}" for x in ("members", "links-small", "links-star", "links-rest", "placed", "lists", "mixed", "main")))
+    return roots.select(F.col("v").alias("name"), F.col("label").alias("root"))
 
 
 def set_roots(docs: DataFrame, words: int, percent: int, group: int, folder: str, mark=None) -> tuple[DataFrame, DataFrame]:
@@ -266,7 +294,9 @@ def set_roots(docs: DataFrame, words: int, percent: int, group: int, folder: str
     answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_answer), "block string, bucket int, grades binary")
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "grades")).alias("answers"))
     sets = chosen.join(told, "block").mapInArrow(tidied(partial(_prefixes, words=words, buckets=buckets, percent=percent)), "name binary, n long, shingles binary, marks array<bigint>")
-    return rows, link_sets(keep_bucketed(sets, f"{folder}/sets", "name"), percent, folder, group)
+    sets = keep_bucketed(sets, f"{folder}/sets", "name")
+    drop_folder(docs.sparkSession, f"{folder}/blocks")
+    return rows, link_sets(sets, percent, folder, group)
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, group: int = 1000) -> DataFrame:
@@ -280,19 +310,21 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, group
 
 
 def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80, group: int = 1000) -> DataFrame:
-    """One row of ``docs`` per group: the least doc_id (null last), then the least text digest.
+    """One row of ``docs`` per group: the least doc_id (null last), then the least text digest, then the least other columns.
 
     Rows whose texts have no words are in no group and stay. Equal rows are one row.
     """
     folder = shared_dir(docs.sparkSession)
+    own_id, own_mark = unused(docs, "id"), unused(docs, "mark")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # a row is named by its doc_id and a digest of its text, so rows with one doc_id are told apart
     mark = F.xxhash64(text, F.col("doc_id").isNull())
     rows, roots = set_roots(docs, words, percent, group, folder, mark)
     named = rows.where("name is not null").join(roots, "name", "left").select("doc_id", "mark", F.coalesce("root", "name").alias("root"))
     best = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("one"))
-    best = keep(best.select(F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.mark").alias("_mark")), f"{folder}/best")
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_mark": mark})
+    best = keep(best.select(F.coalesce("one.doc_id", F.lit(0)).alias(own_id), F.col("one.mark").alias(own_mark)), f"{folder}/best")
+    keyed = docs.withColumns({own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), own_mark: mark})
     inked = text.rlike(r"[^\x20\x09-\x0D]")
-    stay = keyed.where(inked).join(best, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"])
-    return stay.select(*docs.columns).unionByName(docs.where(~inked))
+    whole, others = F.struct(*docs.columns), F.to_json(F.struct(*(c for c in docs.columns if c != "text")))
+    stay = keyed.where(inked).join(best, [own_id, own_mark], "left_semi").groupBy(own_id, own_mark).agg(F.min_by(whole, others).alias("row"))
+    return stay.select("row.*").unionByName(docs.where(~inked))

@@ -69,3 +69,42 @@ def test_divide_skip():
         for s in sets:
             want = [k for k, y in enumerate(sets) if 100 * len(np.intersect1d(s, y)) >= percent * len(np.union1d(s, y))]
             assert lists.search(s, percent).tolist() == want
+
+
+def test_a_chain_of_unrelated_sets_stays_linear(spark, monkeypatch):
+    """Neighbours share a rare shingle and nothing links: one candidate group, but no task of it and no copies of it."""
+    shipped = []
+    whole = jaccard.search_tasks
+
+    def counting(rows, percent):
+        shipped.append(rows.groupBy("task").count().selectExpr("sum(count) s", "max(count) m").first())
+        return whole(rows, percent)
+
+    monkeypatch.setattr(jaccard, "search_tasks", counting)
+    n = 300
+    rows = [(k, f"a{k} b{k} c{k} d{k} " + f"a{k + 1} b{k + 1} c{k + 1} d{k + 1}") for k in range(n)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85, group=10).collect()
+    assert sorted(r.component_id for r in got) == list(range(n))
+    assert sum(r.s or 0 for r in shipped) < 12 * n and max(r.m or 0 for r in shipped) <= 20
+
+
+def test_large_clusters_next_to_each_other(spark):
+    """Groups of near copies that share shingles with other groups, more than a task takes."""
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(5)]
+    rows = []
+    for k in range(160):
+        w = list(base[k % 5])
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            w[rng.randrange(60)] = f"x{rng.randrange(12)}"
+        rows.append((k, " ".join(w + base[(k + 1) % 5][: rng.choice([0, 0, 6])])))
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4, 85, group=8).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 4, 85)
+
+
+def test_the_row_that_stays_is_defined(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text, "fr", "b", 3), (1, text, "en", "c", 3), (1, text, "en", "a", 3), (2, text + " x", "en", "a", 3), (7, "", "en", "q", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _mark string, _id int").repartition(3)
+    got = jaccard.first_of_groups(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == [(1, text, "en", "a", 3), (7, "", "en", "q", 1)]
