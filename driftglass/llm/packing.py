@@ -9,11 +9,12 @@ The plan is made from the length histogram alone (at most ``capacity`` numbers,
 4. pack what is left by best fit, longest first, on (length, count) runs.
 
 Pieces then get a rank among the pieces of their length, from counts of (length, salt) groups, and a range join with the
-plan (a few thousand runs, bounded by the capacity) turns ranks into sequence ids and offsets. No piece list ever meets
-in one task: the salt splits a length that a third of all pieces share.
+plan (a few thousand runs, bounded by the capacity) turns ranks into sequence ids and offsets. A length gets as many salts
+as its pieces need, so the largest sort is bounded whatever the corpus and however many pieces share a length.
 
 Defined cases: null and empty texts are the end id alone; equal rows are packed each; a document id may be null; extra
-columns of the input are not read; an empty table gives an empty result.
+columns of the input are not read; an empty table gives an empty result; a very long text becomes as many pieces as it
+needs, one text at a time in memory.
 """
 
 from __future__ import annotations
@@ -32,7 +33,13 @@ from driftglass.llm.shared import batch, keep, shared_dir, tidied
 from driftglass.llm.tokens import byte_bpe_path, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-SALTS = 64
+#: Pieces ranked together: few in a small corpus, so that its tasks even out; at most MOST_RANKED.
+LEAST_RANKED, MOST_RANKED, BROADCAST_ROWS = 1 << 10, 1 << 18, 1 << 18
+
+
+def salts_for(n: int) -> int:
+    """Groups to split ``n`` pieces of one length into."""
+    return max(1, min(64, -(-n // LEAST_RANKED)), -(-n // MOST_RANKED))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, ids: bool) -> Iterator[pa.RecordBatch]:
@@ -176,22 +183,24 @@ def slot_rows(runs: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
-    """Add sequence_id and offset to a stored table of pieces (it is read three times).
+    """Add sequence_id and offset to a stored table of pieces (it is read three times, twice for lengths alone).
 
     ``pieces`` needs doc_id, piece and length (1 to ``capacity``); all its columns are kept.
     """
     spark = pieces.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).alias("_salt")
-    counts = pieces.groupBy("length", salt).count()
-    of_length = Window.partitionBy("length").orderBy("_salt")
-    bases = counts.withColumn("_base", F.sum("count").over(of_length) - F.col("count")).drop("count")
     hist = np.zeros(capacity + 1, np.int64)
-    for v, n in counts.groupBy("length").agg(F.sum("count")).collect():  # at most ``capacity`` rows
+    for v, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows
         hist[v] = n
     slots = spark.createDataFrame(slot_rows(plan(hist, capacity)), "_length long, _from long, _to long, _sequence long, _offset long")
+    salts = spark.createDataFrame([(v, salts_for(n)) for v, n in enumerate(hist.tolist()) if n], "length long, _salts int")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_salts"))).drop("_salts")
+    of_length = Window.partitionBy("length").orderBy("_salt")
+    bases = salted.groupBy("length", "_salt").count().withColumn("_base", F.sum("count").over(of_length) - F.col("count")).drop("count")
+    if sum(salts_for(n) for n in hist.tolist() if n) <= BROADCAST_ROWS:
+        bases = F.broadcast(bases)
     same = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
-    ranked = pieces.withColumn("_salt", salt).withColumn("_nth", F.row_number().over(same) - 1)
-    ranked = ranked.join(F.broadcast(bases), ["length", "_salt"]).withColumn("_rank", F.col("_base") + F.col("_nth"))
+    ranked = salted.withColumn("_nth", F.row_number().over(same) - 1)
+    ranked = ranked.join(bases, ["length", "_salt"]).withColumn("_rank", F.col("_base") + F.col("_nth"))
     placed = ranked.join(F.broadcast(slots), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     return placed.select(*pieces.columns, (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_offset").alias("offset"))
 

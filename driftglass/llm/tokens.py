@@ -4,6 +4,9 @@ A byte-level BPE without a normalizer encodes each pre-token on its own, so the
 pre-tokens in turn. Each distinct pre-token goes through the library once per worker and batch; the table of known
 pre-tokens is emptied at ``table_size`` entries, which bounds memory and changes no result. Any other kind of tokenizer
 file is encoded text by text.
+
+Added tokens (such as an end-of-text mark) in a text get their own id, as the library does by default; with
+``special_as_text`` their strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 
 #: The pre-token pattern of byte-level BPE (fixed value of that tokenizer family).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -34,17 +38,22 @@ def byte_letters() -> dict[int, int]:
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, table_size: int = 500_000):
+    def __init__(self, path: str, table_size: int = 500_000, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder()
+        plain = all(t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized) for t in added.values())
+        self.marks = {} if special_as_text else {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        #: the longest added token at the first place where one stands
+        self.mark = regex.compile("|".join(map(regex.escape, sorted(self.marks, key=len, reverse=True)))) if self.marks else None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        self.by_pieces = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self.by_pieces = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and plain
         self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.letters = byte_letters()
         self.table: dict[str, bytes] = {}
@@ -59,6 +68,14 @@ class Encoder:
         for piece in pieces:
             table[piece] = array("I", [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
+    def _ordinary(self, text: str) -> Iterator[tuple[str, bytes]]:
+        """Stretches between added tokens, each with the id of the token that ends it."""
+        at = 0
+        for m in self.mark.finditer(text) if self.mark and any(x in text for x in self.marks) else ():
+            yield text[at : m.start()], self.marks[m.group()]
+            at = m.end()
+        yield text[at:], b""
+
     def _segments(self, text: str) -> Iterator[str]:
         """A long text in parts: a single space between other characters always begins a pre-token."""
         at = 0
@@ -76,10 +93,10 @@ class Encoder:
         held: list[list[str]] = []
         size = 0
         for text in texts:
-            if text and len(text) > SEGMENT:
+            if text and (len(text) > SEGMENT or any(x in text for x in self.marks)):
                 yield from self._take(held)
                 held, size = [], 0
-                yield b"".join(x for part in self._segments(text) for x in self._take([self.find(part)]))
+                yield b"".join(b"".join(x for part in self._segments(own) for x in self._take([self.find(part)])) + mark for own, mark in self._ordinary(text))
                 continue
             held.append(self.find(text) if text else [])
             size += len(text or "")

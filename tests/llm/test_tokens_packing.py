@@ -3,9 +3,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from driftglass.llm import bitplanes, packing
-from driftglass.llm.tokens import byte_bpe_path, encoder
+from driftglass.llm.tokens import Encoder, byte_bpe_path, encoder
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +16,6 @@ def plain():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(byte_bpe_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,16 +30,27 @@ def test_encoder_equals_library(plain):
     assert np.frombuffer(enc.encode(long), "<u4").tolist() == plain(long)
 
 
+def test_special_strings_as_ordinary_text():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(byte_bpe_path())
+    for text in ("a<|endoftext|>b", "<|endoftext|>", " <|endoftext|><|endoftext|> x" * 3, "<|endof<|endoftext|>text|>"):
+        t.encode_special_tokens = False
+        assert np.frombuffer(Encoder(byte_bpe_path()).encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        t.encode_special_tokens = True
+        assert np.frombuffer(Encoder(byte_bpe_path(), special_as_text=True).encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def docs_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, piece string, _salt int")
 
 
-EDGES = [(1, "hello world", "x", 1), (1, "hello world", "x", 1), (2, None, None, None), (None, "a null id", "x", 2), (3, "", "y", 3), (4, "word " * 5000, "z", 4)]
+EDGES = [(1, "hello world", "x", 1), (1, "hello world", "x", 1), (2, None, None, None), (None, "a null id", "x", 2), (3, "", "y", 3), (4, "word " * 5000, "z", 4), (5, "an <|endoftext|> inside", "z", 4)]
 
 
 def test_packing_edges(spark, plain):
     got = packing.pack_documents(docs_of(spark, EDGES)).toPandas()
-    assert got.shape[0] == 5 + -(-(len(plain("word " * 5000)) + 1) // 1024)
+    assert got.shape[0] == 6 + -(-(len(plain("word " * 5000)) + 1) // 1024)
     assert packing.pack_documents(docs_of(spark, [])).count() == 0
 
 
@@ -100,6 +111,20 @@ def test_files_round_trip(spark, plain, bits):
 
 def test_files_edges(spark):
     got = bitplanes.round_trip(docs_of(spark, EDGES)).orderBy("start").collect()
-    assert [r.doc_id for r in got] == [None, 1, 1, 2, 3, 4]
+    assert [r.doc_id for r in got] == [None, 1, 1, 2, 3, 4, 5]
     assert got[3].n_tokens == got[4].n_tokens == 1
     assert bitplanes.round_trip(docs_of(spark, [])).count() == 0
+
+
+def test_salts_are_bounded_groups():
+    assert [packing.salts_for(n) for n in (1, 1024, 1025, 10**6, 10**7, 10**9)] == [1, 1, 2, 64, 64, 3815]
+
+
+@pytest.mark.parametrize("rows", [1, 1 << 18])
+def test_one_length_over_many_salts(spark, rows, monkeypatch):
+    monkeypatch.setattr(packing, "LEAST_RANKED", 10)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", rows)
+    pieces = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") < 700, 1024).when(F.col("id") < 1400, 600).otherwise(424).cast("long").alias("length"))
+    got = packing.pack_pieces(pieces).toPandas()
+    assert len(got) == 2000 and got.sequence_id.nunique() == 700 + 700
+    check_layout(got)
