@@ -11,11 +11,12 @@ counts up to 5 (where the counts of counts allow it, else (r - 0.5) / r) and TAI
 
 Counts of all training texts meet in hash buckets and are stored there as tables, partitioned by kind. Blocks of texts
 ask for the counts of their distinct words, then of their distinct pairs; buckets answer in the order asked. A context
-with many pairs is dealt over SALTS buckets, and its sums are added up by the block. Nothing is broadcast but the two
-discount vectors.
+with many tokens is dealt over as many buckets as its share of the text asks for, and its sums are added up by the block.
+Nothing is broadcast but the two discount vectors. Counts are 64 bits wide throughout.
 
 Defined cases: null and empty texts are one end token; a null doc_id is in neither fold and teaches nothing; without
-training texts every token is unknown (P = 1 each); repeated rows are counted and scored each.
+training texts every token is unknown (P = 1 each); repeated rows are counted and scored each; extra columns are not read;
+an empty table gives an empty result; a very long text is a block of its own, read a few megabytes at a time.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from driftglass.llm.blocks import Block, bucket_count, by_bucket, dealt, mix, rows_of, word_blocks
 from driftglass.llm.shared import batch, crc_remainder, keep, keep_bucketed, shared_dir, tidied
 
-LARGEST, TAIL, SALTS = 5, 0.999, 32
+LARGEST, TAIL = 5, 0.999
 END, BEGIN = np.uint64(0xE0D), np.uint64(0xBE6)
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -64,14 +65,17 @@ class Words:
 
 
 def pressed(x: np.ndarray) -> bytes:
-    """Counts as compressed byte planes: most high bytes are zero."""
-    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Counts as compressed byte planes, as many as the largest needs: most high bytes are zero."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width])
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpressed(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.reshape(-1).view("<u8").astype(np.int64)
 
 
 def _learns(block: Block) -> np.ndarray:
@@ -109,17 +113,17 @@ class Pairs:
     def ordered(self, counts: np.ndarray, total: int, buckets: int) -> None:
         """Order of the distinct pairs by bucket, context and word key; ``counts`` are of the words, with the beginning."""
         v, w = self.keys[self.v], mix(self.keys[self.w]) & LOW48
-        self.hot = counts[self.v] * (4 * buckets) >= max(1, total)
-        salt = np.where(self.hot, mix(w) % np.uint64(SALTS), np.uint64(0))
-        bucket = _bucket(v, salt, buckets)
+        salts = salts_of(counts, total, buckets)
+        bucket = _bucket(v, mix(w) % salts[self.v], buckets)
         order = np.lexsort((w, v, bucket))
         self.order, bucket, v, self.wkey = order, bucket[order], v[order], w[order]
         lead = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (bucket[1:] != bucket[:-1])])) if len(order) else np.zeros(0, np.int64)
         # a context dealt over salts asks all its buckets, with no pairs where it has none: its sums lie in all of them
-        hot = np.unique(self.v[self.hot])
-        salts = np.tile(np.arange(SALTS, dtype=np.uint64), len(hot))
-        spread = np.repeat(hot, SALTS)
-        at = np.concatenate([bucket[lead], _bucket(self.keys[spread], salts, buckets)])
+        contexts = np.unique(self.v)
+        hot = contexts[salts[contexts] > 1]
+        spread = np.repeat(hot, salts[hot].astype(np.int64))
+        nth = np.concatenate([np.arange(n, dtype=np.uint64) for n in salts[hot].tolist()]) if len(hot) else np.zeros(0, np.uint64)
+        at = np.concatenate([bucket[lead], _bucket(self.keys[spread], nth, buckets)])
         of = np.concatenate([self.v[order[lead]], spread])
         size = np.concatenate([np.diff(np.append(lead, len(order))), np.zeros(len(spread), np.int64)])
         by = np.lexsort((self.keys[of], at))
@@ -130,6 +134,12 @@ class Pairs:
         self.group_hot = np.isin(self.group_context, hot)
 
 
+def salts_of(counts: np.ndarray, total: int, buckets: int) -> np.ndarray:
+    """Over how many buckets each context is dealt: a quarter of a bucket's even share of the tokens goes to each."""
+    share = counts.astype(float) * (4 * buckets) / max(1, total)
+    return np.clip(np.ceil(share), 1, buckets).astype(np.uint64)
+
+
 def _bucket(v: np.ndarray, salt: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(v + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
 
@@ -168,7 +178,7 @@ def _tell_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, np.concatenate([np.frombuffer(r["often"], "<u4") for r in rows]), minlength=len(names)).astype(np.int64)
         parts = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
-        yield _table_row("answer", bucket, len(rows), block=[r["block"] for r in rows], counts=[p.astype("<u4").tobytes() for p in parts])
+        yield _table_row("answer", bucket, len(rows), block=[r["block"] for r in rows], counts=[pressed(p) for p in parts])
         seen = total > 0
         small = total[total <= LARGEST]
         yield _table_row("table", bucket, 1, keys=[names[seen].tobytes()], counts=[total[seen].astype("<i8").tobytes()])
@@ -179,7 +189,7 @@ def word_counts(row: dict, pairs: Pairs, buckets: int) -> np.ndarray:
     """Training counts of the words of a block, the end, and the beginning as a context."""
     keys = pairs.keys[:-1]
     order = np.argsort(keys % np.uint64(buckets), kind="stable")
-    got = np.frombuffer(b"".join(x["counts"] for x in sorted(row["words_told"], key=lambda x: x["bucket"])), "<u4")
+    got = np.concatenate([unpressed(x["counts"]) for x in sorted(row["words_told"], key=lambda x: x["bucket"])])
     counts = np.empty(len(keys) + 1, np.int64)
     counts[order] = got
     counts[-1] = counts[-2]  # as many beginnings as ends
@@ -193,7 +203,7 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words) ->
         pairs.distinct()
         pairs.ordered(counts, words.total, buckets)
         order, held = pairs.order, []
-        often, known = pairs.often[order].astype("<u4"), counts[pairs.w[order]].astype("<u4")
+        often, known = pairs.often[order], counts[pairs.w[order]]
         low, high = (pairs.wkey & np.uint64(0xFFFFFFFF)).astype("<u4"), (pairs.wkey >> np.uint64(32)).astype("<u2")
         vs, lens, hot = pairs.keys[pairs.group_context], pairs.group_size.astype("<u4"), pairs.group_hot.astype(np.uint8)
         cuts = np.flatnonzero(np.diff(pairs.group_bucket)) + 1
@@ -222,7 +232,7 @@ def _tell_pairs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.
             return np.concatenate([np.frombuffer(r[name], kind) for r in rows])
 
         def counted(name: str) -> np.ndarray:
-            return np.concatenate([unpressed(r[name]) for r in rows]).astype(np.int64)
+            return np.concatenate([unpressed(r[name]) for r in rows])
 
         vs, lens, hot = joined("vs", np.uint64), joined("lens", "<u4").astype(np.int64), joined("hot", np.uint8)
         w = joined("low", "<u4").astype(np.uint64) | (joined("high", "<u2").astype(np.uint64) << np.uint64(32))

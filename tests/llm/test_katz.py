@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from driftglass.llm import katz
@@ -82,3 +83,26 @@ def test_discounts():
     d = katz.discounts([0, 1000, 300, 150, 90, 60, 45])
     assert (np.diff(d[1:]) > 0).all() and 0 < d[1] < 1
     assert katz.discounts([0, 1, 0, 0, 0, 0, 0])[1] == 0.5
+
+
+def test_counts_beyond_32_bits():
+    x = np.array([0, 1, 255, 2**32 - 1, 2**32, 7 * 2**40], np.int64)
+    assert (katz.unpressed(katz.pressed(x)) == x).all() and len(katz.unpressed(katz.pressed(x[:0]))) == 0
+    keys, often = np.array([5, 9], np.uint64).tobytes(), np.array([4_000_000_000, 3], "<u4").tobytes()
+    asked = pa.RecordBatch.from_pylist([{"bucket": 1, "block": f"b{k}", "keys": keys, "often": often} for k in range(3)])
+    told = [r for b in katz._tell_words(iter([asked])) for r in b.to_pylist()]
+    assert [katz.unpressed(r["counts"]).tolist() for r in told if r["kind"] == "answer"] == [[12_000_000_000, 9]] * 3
+    assert [r["total"] for r in told if r["kind"] == "stats"] == [12_000_000_009]
+
+
+def test_pair_counts_beyond_32_bits():
+    ask = {"bucket": 0, "vs": np.array([7], np.uint64).tobytes(), "lens": np.array([1], "<u4").tobytes(), "hot": b"\1", "low": np.array([3], "<u4").tobytes(), "high": np.array([0], "<u2").tobytes()}
+    ask |= {"often": katz.pressed(np.array([3_000_000_000])), "known": katz.pressed(np.array([9_000_000_000]))}
+    words = katz.Words(10_000_000_000, 2, [0] * 7, 0.9)
+    told = [r for b in katz._tell_pairs(iter([pa.RecordBatch.from_pylist([{**ask, "block": f"b{k}"} for k in range(3)])]), words) for r in b.to_pylist()]
+    assert [katz.unpressed(r["counts"]).tolist() for r in told if r["kind"] == "answer"] == [[9_000_000_000]] * 3
+    assert [katz.unpressed(r["counts"]).tolist() for r in told if r["kind"] == "table"] == [[9_000_000_000]]
+
+
+def test_salts_follow_the_share():
+    assert katz.salts_of(np.array([0, 1, 10, 500, 1000]), 1000, 64).tolist() == [1, 1, 3, 64, 64]
