@@ -95,28 +95,46 @@ def test_language_held_out(spark):
     assert (got[got.held_out].lang_pred == got[got.held_out].lang).mean() > 0.98
 
 
-def test_automaton_against_substrings():
+def phrases_of(text, sample):
+    """Greedy longest phrases of a whole text, a character that the sample lacks by itself."""
+    def classes(t):
+        own = {c for c in sample.lower() if c.isalpha()}
+        return "".join(c if c in own else "\0" if not c.isalpha() else "\1" for c in t.lower())
+
+    known, x, n, phrase = classes(sample), classes(text), 0, ""
+    for c in x:
+        if phrase and phrase + c in known:
+            phrase += c
+        else:
+            n += 1
+            phrase = c if c in known else ""
+    return n
+
+
+LETTERS = {"a": "abcé ", "b": "bcd ", "c": "xyz", "adlam": "\U0001e922\U0001e923\U0001e924 ", "deseret": "\U00010428\U00010429 a"}
+
+
+@pytest.mark.parametrize("dense", [1 << 28, 0])
+def test_phrases_against_substrings(monkeypatch, dense):
+    monkeypatch.setattr(language, "DENSE_BYTES", dense)
     rng = random.Random(2)
-    samples = {name: "".join(rng.choice(letters) for _ in range(200)) for name, letters in (("a", "abcé "), ("b", "bcd "), ("c", "xyz"))}
+    samples = {name: "".join(rng.choice(letters) for _ in range(200)) for name, letters in LETTERS.items()}
+    samples["periodic"] = "abcd" * 40 + "dcb"
     parser = language.Parser(samples)
-    texts = ["".join(rng.choice("abcdéxq 1") for _ in range(rng.choice([0, 1, 5, 255, 256, 257, 700]))) for _ in range(40)]
-    codes = [parser.codes(t) for t in texts]
-    got = parser.phrases(np.concatenate(codes), np.cumsum([len(c) for c in codes]))
-    known = {name: bytes(parser.codes(t).astype(np.uint8)) for name, t in samples.items()}
-    for i, c in enumerate(codes):
-        raw = bytes(c.astype(np.uint8))
-        for k, name in enumerate(parser.languages):
-            n = 0
-            for at in range(0, len(raw), language.STRETCH):
-                phrase = b""
-                n += 1
-                for x in raw[at : at + language.STRETCH]:
-                    if phrase + bytes([x]) in known[name]:
-                        phrase += bytes([x])
-                    else:
-                        n += 1
-                        phrase = bytes([x]) if bytes([x]) in known[name] else b""
-            assert got[i, k] == n
+    texts = ["".join(rng.choice(rng.choice(["abcdéxq 1\U0001e922", "ab", "\U00010428漢 "])) for _ in range(rng.choice([0, 1, 5, 255, 256, 257, 700, 1500]))) for _ in range(40)]
+    texts += ["bcda" * 700, "b" + "cdab" * 500 + "x" + "abcd" * 300, "dcba" * 300, "abcd" * 64, ""]
+    each = [language.points_of(t) for t in texts]
+    got = parser.phrases(np.concatenate(each), np.cumsum([len(c) for c in each]))
+    for i, t in enumerate(texts):
+        assert got[i].tolist() == [phrases_of(t, samples[name]) for name in parser.languages], i
+
+
+def test_letters_beyond_the_basic_plane_are_told_apart(spark):
+    rng = random.Random(3)
+    rows = [(k, "".join(rng.choice(LETTERS[name]) for _ in range(80)), name) for k in range(120) for name in [["adlam", "deseret"][k % 2]]]
+    got = language.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    want = {d: name for d, _, name in rows}
+    assert all(r.lang_pred == want[r.doc_id] for r in got)
 
 
 def test_edges(spark):
