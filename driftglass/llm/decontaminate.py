@@ -2,8 +2,9 @@
 
 A window is ``span`` consecutive words of an item, or all words of a shorter item. Of the hashes of k-grams in a window
 of ``span`` words the least is its fingerprint (k + w - 1 = span, w k-grams a window), so a shared window always has a
-shared fingerprint. Documents and items are joined on fingerprints; the (text, item) pairs found are then extended: every
-word position of the text is compared with the item's windows, word for word.
+shared fingerprint. Documents and items are joined on fingerprints; the hits are then extended: a fingerprint's places in
+the text and in the item say how far the one is shifted against the other, and along every such shift the words of both
+are compared, window by window.
 
 Texts are named by a digest, so copies of a text are looked at once per pair. Fingerprints and candidates are broadcast
 only while their counted rows stay under a bound; beyond it the same joins shuffle.
@@ -12,7 +13,8 @@ No filter stands on a computed array: Catalyst would push it down and inline the
 are exploded with explode_outer and empty results fall to joins and aggregates.
 
 Defined cases: null texts and items have no words; items with a null item_id are not looked at; rows with equal doc_id
-are judged each; equal item_ids count once; extra columns are not read; an empty benchmark hits nothing.
+are judged each; equal item_ids count once; extra columns are not read; an empty benchmark hits nothing; an empty table
+gives an empty result; a very long text is one row, its words an array of that row.
 """
 
 from __future__ import annotations
@@ -43,14 +45,19 @@ def starts_of(words: Column, length: int) -> Column:
 
 
 def grams(words: Column, k: int) -> Column:
-    return F.transform(starts_of(words, k), lambda i: F.xxhash64(F.slice(words, i, F.lit(k))))
+    """Hashes of all runs of ``k`` words: those of their arrays, without making the arrays."""
+    return F.transform(starts_of(words, k), lambda i: F.xxhash64(*(F.get(words, i + (d - 1)) for d in range(k))))
+
+
+def least_of(values: list[Column]) -> Column:
+    return F.least(*values) if len(values) > 1 else values[0]
 
 
 def fingerprints(df: DataFrame, words: str, span: int, k: int, short: list[int]) -> DataFrame:
     """Add _marks: distinct winnowed k-gram hashes, and all n-gram hashes of the lengths in ``short``."""
     width = span - k + 1
     df = df.withColumn("_grams", grams(F.col(words), k))
-    least = F.transform(starts_of(F.col("_grams"), width), lambda i: F.array_min(F.slice("_grams", i, F.lit(width))))
+    least = F.transform(starts_of(F.col("_grams"), width), lambda i: least_of([F.get("_grams", i + (d - 1)) for d in range(width)]))
     marks = [least, *(grams(F.col(words), n) for n in short)]
     return df.withColumn("_marks", F.array_distinct(F.concat(*marks) if short else least)).drop("_grams")
 
@@ -65,25 +72,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
     spark = docs.sparkSession
     folder = shared_dir(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("_item")).where("item_id is not null and size(_item) > 0")
-    items = items.withColumn("_length", F.least(F.size("_item"), F.lit(span)))
+    # an id may stand for several texts
+    items = keep(items.withColumn("_length", F.least(F.size("_item"), F.lit(span))).withColumn("_row", F.xxhash64("_item")).dropDuplicates(["item_id", "_row"]), f"{folder}/items")
     short = sorted(r[0] for r in items.select("_length").distinct().collect() if r[0] < span)  # at most span - 1 numbers
-    runs = F.transform(F.sequence(F.lit(1), F.size("_item") - F.col("_length") + 1), lambda i: F.array_join(F.slice("_item", i, F.col("_length")), " "))
-    windows = items.select("item_id", "_length", runs.alias("_windows")).groupBy("item_id", "_length").agg(F.array_distinct(F.flatten(F.collect_set("_windows"))).alias("_windows"))
-    windows = keep(windows, f"{folder}/windows")
-    full = fingerprints(items.where(F.col("_length") == span), "_item", span, k, []).select("item_id", F.explode_outer("_marks").alias("mark"))
-    brief = items.where(F.col("_length") < span).select("item_id", F.xxhash64("_item").alias("mark"))
+    full = fingerprints(items.where(F.col("_length") == span), "_item", span, k, []).select("item_id", "_row", F.explode_outer("_marks").alias("mark"))
+    brief = items.where(F.col("_length") < span).select("item_id", "_row", F.xxhash64("_item").alias("mark"))
     marks = keep(full.union(brief).distinct(), f"{folder}/marks")
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.md5(text.cast("binary")).alias("_name"), text.alias("_text"))
     asked = fingerprints(texts.withColumn("_words", words_of(F.col("_text"))), "_words", span, k, short).select("_name", F.explode_outer("_marks").alias("mark"))
-    pairs = keep(asked.join(small(marks, bound), "mark").select("_name", "item_id").distinct(), f"{folder}/pairs")
+    met = asked.join(small(marks, bound), "mark").groupBy("_name", "item_id", "_row").agg(F.collect_set("mark").alias("_met"))
+    pairs = keep(met, f"{folder}/pairs")
+
+    both = texts.join(small(pairs, bound), "_name").withColumn("_words", words_of(F.col("_text"))).drop("_text").join(small(items, bound // 50), ["item_id", "_row"])
+    gram = F.when(F.col("_length") == span, k).otherwise(F.col("_length"))
+
+    def places(words: str) -> Column:
+        """Where a met fingerprint stands: its hash and the first word's number, from 1."""
+        last = F.size(words) - gram + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        each = F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice(words, i, gram)).alias("h"), i.alias("i")))
+        return F.filter(each, lambda x: F.array_contains("_met", x["h"]))
+
+    shifts = F.array_distinct(F.flatten(F.transform("_here", lambda p: F.transform(F.filter("_there", lambda q: q["h"] == p["h"]), lambda q: p["i"] - q["i"]))))
+    both = both.withColumns({"_here": places("_words"), "_there": places("_item")}).withColumn("_shifts", shifts)
+
+    def equal_windows(d: Column) -> Column:
+        lo, hi = F.greatest(F.lit(1), d + 1), F.least(F.size("_words"), F.size("_item") + d) - F.col("_length") + 1
+        starts = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+        return F.filter(starts, lambda s: F.slice("_words", s, F.col("_length")) == F.slice("_item", s - d, F.col("_length")))
 
-    met = texts.join(small(pairs, bound), "_name").withColumn("_words", words_of(F.col("_text"))).drop("_text").join(small(windows, bound // 50), "item_id")
-    begins = F.filter(F.sequence(F.lit(1), F.size("_words") - F.col("_length") + 1), lambda i: F.array_contains("_windows", F.array_join(F.slice("_words", i, F.col("_length")), " ")))
-    begins = F.when(F.size("_words") >= F.col("_length"), begins).otherwise(F.array().cast("array<int>"))
+    begins = F.array_distinct(F.flatten(F.transform("_shifts", equal_windows)))
     # the filter stands above the aggregate: below it, it would be inlined with the word split inside the lambda
-    hits = met.select("_name", "item_id", "_length", begins.alias("_begins")).groupBy("_name", "item_id", "_length").agg(F.first("_begins").alias("_begins"))
+    hits = both.select("_name", "item_id", "_row", "_length", begins.alias("_begins")).groupBy("_name", "item_id", "_row", "_length").agg(F.first("_begins").alias("_begins"))
     hits = hits.where("size(_begins) > 0")
     spots = F.flatten(F.transform("_begins", lambda b: F.sequence(b, b + F.col("_length") - 1)))
     found = hits.select("_name", "item_id", spots.alias("_spots")).groupBy("_name").agg(
