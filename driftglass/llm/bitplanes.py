@@ -7,10 +7,10 @@ read by decoding only the blocks it touches.
 
 Documents are written in ascending order of doc_id (null first; equal ids by text) over range-partitioned files. A task
 writes under a name of its own; only files of finished tasks get into the manifest, so a retried task leaves no trace in
-the result.
+the result; files of attempts that did not finish are deleted.
 
 Defined cases: null and empty texts are the end id alone; an empty table gives no files and an empty result; repeated
-rows are written each; extra columns are not read.
+rows are written each; extra columns are not read; a very long text runs over as many blocks as it needs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftglass.llm.shared import batch, keep, shared_dir, tidied
+from driftglass.llm.shared import batch, drop_others, keep, shared_dir, tidied
 from driftglass.llm.tokens import byte_bpe_path, encoder
 
 MAGIC = b"DGPLANE1"
@@ -160,7 +160,9 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(tidied(partial(_write, folder=f"{folder}/planes", path=tokenizer or byte_bpe_path(), end_id=end_id, block_ids=block_ids, bits=bits)), MANIFEST)
-    return keep(files, f"{folder}/manifest")
+    manifest = keep(files, f"{folder}/manifest")
+    drop_others(docs.sparkSession, f"{folder}/planes", {r.file for r in manifest.select("file").collect()})  # a row per file
+    return manifest
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

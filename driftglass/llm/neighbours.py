@@ -7,7 +7,8 @@ bounded by ``per_class``); every document is projected and multiplied with all o
 vote with their cosine, and votes are scaled to the class shares of all labels.
 
 Defined cases: null and empty texts, and texts with no positive cosine, score the share of label 1; without labels every
-score is 0.5; repeated rows are scored each; a null doc_id is in neither fold (held_out is null).
+score is 0.5; repeated rows are scored each; a null doc_id is in neither fold (held_out is null); extra columns are not
+read; an empty table gives an empty result; a very long text is counted a few megabytes at a time.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ characters of its words are left and the base rules hold (enough words, not most
 Everything is per row: no shuffle, no Python. Repeated windows are found by sorting hashes of windows within the row, and
 only in rows where a hash occurs twice.
 
-Defined cases: null text has no words (base_failed, not kept); empty lines belong to no rule; repeated rows are judged
-each; other columns are kept as they are by ``judge`` (its own columns replace equally named ones).
+Defined cases: null and empty texts have no words (base_failed, not kept); empty lines belong to no rule; repeated rows are
+judged each; a null doc_id is kept; other columns are kept as they are by ``judge`` (its own columns replace equally named
+ones); an empty table gives an empty result; a very long text is one row, its windows arrays of that row.
 """
 
 from __future__ import annotations

@@ -77,6 +77,16 @@ def drop_folder(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def drop_others(spark: SparkSession, path: str, names: set[str]) -> None:
+    """Delete the files of a folder whose last name is not that of one in ``names``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {n.rsplit("/", 1)[-1] for n in names}
+    for found in store.listStatus(where) if store.exists(where) else ():
+        if found.getPath().getName() not in kept:
+            store.delete(found.getPath(), False)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ piece; as rates don't grow with the text, its length alone moves no score.
 
 Defined cases: null and empty texts score by the intercept alone; without labels of both classes every score is the share
 of toxic labels (0 without any); repeated rows are scored each; a null doc_id is in neither fold (held_out is null);
-extra columns are not read.
+extra columns are not read; an empty table gives an empty result; ``reject`` keeps every column as it is.
 """
 
 from __future__ import annotations

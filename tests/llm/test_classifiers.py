@@ -1,3 +1,5 @@
+import collections
+import math
 import random
 import zlib
 
@@ -29,6 +31,55 @@ def test_features_are_the_set_of_grams():
     assert (toxicity.features(long) == whole).all()
 
 
+def grams_of(text):
+    """Byte n-grams of a lower-cased text with their counts, as (order, bytes)."""
+    raw = text.encode().lower()
+    return collections.Counter((n, raw[k : k + n]) for n in toxicity.ORDERS for k in range(len(raw) - n + 1))
+
+
+def key_of(gram):
+    return int(toxicity._keys(np.frombuffer(gram[1], np.uint8), gram[0])[0])
+
+
+def test_toxicity_against_a_plain_version(spark):
+    """Ratios, choice of grams, fit and scores of the whole query, held against dense arrays and Python counters."""
+    rng = random.Random(5)
+    words = [["calm", "river", "stone", "bread", "glad"], ["bile", "scorn", "river", "stone", "filth"]]
+    texts = {k: " ".join(rng.choice(words[k % 5 == 0]) for _ in range(rng.randrange(20, 90))) for k in range(150)}
+    docs = spark.createDataFrame([*texts.items(), (900, None)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in texts if k % 7], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.predict(docs, labels).collect()}
+
+    learn = [k for k in texts if k % 7 and zlib.crc32(str(k).encode()) % 5 != 0]
+    y = np.array([float(k % 5 == 0) for k in learn])
+    counts = [grams_of(texts[k]) for k in learn]
+    n1, n0 = int(y.sum()), int(len(y) - y.sum())
+    ratio = {}
+    for g in set().union(*counts):
+        c1 = sum(1 for c, v in zip(counts, y) if g in c and v)
+        c0 = sum(1 for c, v in zip(counts, y) if g in c and not v)
+        r = math.log((c1 + 0.5) / (n1 + 1)) - math.log((c0 + 0.5) / (n0 + 1))
+        if c0 + c1 >= 3 and abs(r) >= 3 * math.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5)):
+            ratio[g] = r
+    assert len(ratio) > 20
+    grams = sorted(ratio, key=key_of)
+    rate = lambda c: np.array([c[g] for g in grams]) * 1000 / max(sum(c.values()), 300)
+    r = np.array([ratio[g] for g in grams])
+    x = np.stack([rate(c) for c in counts]) * r
+    w, b, m, s = np.zeros(len(r)), 0.0, np.zeros(len(r) + 1), np.zeros(len(r) + 1)
+    for t in range(1, 121):  # Adam on the log loss plus half the squared weights
+        off = 1 / (1 + np.exp(-(x @ w + b))) - y
+        g = np.append((x.T @ off + w) / len(y), off.sum() / len(y))
+        m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
+        move = 0.05 * m / (1 - 0.9**t) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
+    assert got[900].score == pytest.approx(1 / (1 + math.exp(-b)), abs=1e-6)
+    for k, text in texts.items():
+        z = rate(grams_of(text)) @ (w * r) + b
+        assert got[k].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+        assert got[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = table(spark, "documents"), table(spark, "labels")
     got = toxicity.predict(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").toPandas()

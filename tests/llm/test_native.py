@@ -99,3 +99,17 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in decontaminate.contamination(docs, none).collect()] == [0]
     assert decontaminate.contamination(spark.createDataFrame([], "doc_id long, text string"), none).count() == 0
+
+
+def test_clashing_columns_and_long_texts(spark):
+    """Columns named like helpers or results don't matter; a text of a megabyte is one row like any other."""
+    long = "filler word " * 90_000 + "one two three four five six seven eight nine ten"
+    rows = [(1, long, "a", 7, "w"), (2, "one two three four five six seven eight nine ten", "b", 8, "w"), (2, None, "c", 9, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _name string, n_hit int, _words string")
+    bench = spark.createDataFrame([("q", "zero one two three four five six seven eight nine ten", "x", 1)], "item_id string, text string, _item string, mark int")
+    got = decontaminate.contamination(docs, bench).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit) for r in got) == [(1, 180_010, 10), (2, 0, 0), (2, 10, 10)]
+    kept = decontaminate.clean_rows(docs, bench)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, None, "c", 9, "w")]
+    judged = quality.judge(spark.createDataFrame([(1, long, "x")], "doc_id long, text string, _text string")).first()
+    assert judged.n_words == 180_010 and judged.base_failed and not judged.kept

@@ -93,3 +93,18 @@ def test_run_and_edges(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert collections.Counter(r.doc_id for r in got) == {1: 1, 3: 2, None: 1}
     assert all(len(np.frombuffer(r.ids, "<u4")) == r.length for r in got)
+
+
+def test_empty_documents_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _id string, _mark long, _name string, t1 int, kept string, mark int, block string"
+    row = (1, " ".join(f"word{k}" for k in range(90)), "en", "a", 600, "x", 1, "y", 2, "z", 3, "b")
+    spark.createDataFrame([(1, "an item of a few words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for rows, want in (([], 0), ([row, row], 1)):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == corpus_pipeline.COLUMNS
+        assert docs.count() == want
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() == want

@@ -109,6 +109,16 @@ def test_files_round_trip(spark, plain, bits):
         start += len(ids)
 
 
+def test_files_of_failed_attempts_go(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    (tmp_path / "planes").mkdir()
+    (tmp_path / "planes" / "part-000000-dead.planes").write_bytes(b"half")
+    manifest = bitplanes.write_files(docs_of(spark, EDGES), folder)
+    left = sorted(p.name for p in (tmp_path / "planes").iterdir() if not p.name.startswith("."))
+    assert left == sorted(r.file.rsplit("/", 1)[-1] for r in manifest.collect())
+    assert bitplanes.read_files(manifest).count() == len(EDGES)
+
+
 def test_files_edges(spark):
     got = bitplanes.round_trip(docs_of(spark, EDGES)).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 1, 1, 2, 3, 4, 5]
