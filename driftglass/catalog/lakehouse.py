@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from driftglass.catalog.states import GAP, duck, states, with_clock
-from driftglass.catalog.telemetry import _HOUR, _PSI, longs, positions, rounded, traj
+from driftglass.catalog.telemetry import _HOUR, _PSI, AS_OF, latest, longs, positions, rounded, traj
 from driftglass.functions import text
-from driftglass.operators import aggregates, evaluate, samples, segments
-from driftglass.plans import adhoc, lake, medallion, model, planner
+from driftglass.operators import aggregates, evaluate, live, samples, segments
+from driftglass.plans import adhoc, lake, medallion, model, planner, reports
 from driftglass.plans.store import Store, work_folder
 
 QUERIES: dict = {}
@@ -88,25 +90,52 @@ def drift_verdict(spark, sf_dir):
     return evaluate.drift_verdict(med("event_id % 2 = 0"), med("event_id % 2 = 1"), ["velocity", "baro_altitude"], least_objects=100)
 
 
-@query("""SELECT CAST(floor(snap_epoch / 300.0) AS BIGINT) * 300 AS window_start, count(*) AS scored, round(avg(velocity), 6) AS mean_velocity, count(DISTINCT icao24) AS aircraft FROM states GROUP BY 1""")
+_MADE = """SELECT icao24, snap_epoch AS ti, CASE event_id % 7 WHEN 0 THEN 'giveup' WHEN 1 THEN 'keep' ELSE 'scored' END AS state, abs(velocity) AS err_model, abs(velocity) + CAST(event_id % 190 AS DOUBLE) AS err_dr, CAST(1 + event_id % 211 AS DOUBLE) AS moved, velocity, baro_altitude FROM states"""
+
+
+def _made(spark, sf_dir):
+    """Predictions as the serving loop leaves them, derived from the reports."""
+    s, k = states(spark, sf_dir), F.col("event_id")
+    state = F.when(k % 7 == 0, "giveup").when(k % 7 == 1, "keep").otherwise("scored")
+    return s.select("icao24", F.col("snap_epoch").alias("ti"), state.alias("state"), F.abs("velocity").alias("err_model"), (F.abs("velocity") + (k % 190).cast("double")).alias("err_dr"), (1 + k % 211).cast("double").alias("moved"), "velocity", "baro_altitude")
+
+
+def _sides(side: str, err: str) -> str:
+    hits = ", ".join(f"round(avg(CASE WHEN {err} <= {t} THEN 1.0 ELSE 0.0 END) * 100, 1) AS {side}_hit_{t}m_pct" for t in evaluate.THRESHOLDS_M)
+    return f"round(avg({err}), 1) AS {side}_mean_m, round(quantile_cont({err}, 0.5), 1) AS {side}_p50_m, round(quantile_cont({err}, 0.9), 1) AS {side}_p90_m, {hits}, round((1 - quantile_cont({err} / moved, 0.5)) * 100, 1) AS {side}_relative_accuracy_pct"
+
+
+@query(f"""WITH m AS (SELECT *, ti // 86400 * 86400 AS window_start FROM ({_MADE})),
+  a AS (SELECT window_start, count(*) AS predictions, count(*) FILTER (state = 'scored') AS scored, count(*) FILTER (state = 'giveup') AS unscorable FROM m GROUP BY 1),
+  e AS (SELECT window_start, {_sides('model', 'err_model')}, {_sides('baseline', 'err_dr')} FROM m WHERE state = 'scored' GROUP BY 1)
+  SELECT * FROM a LEFT JOIN e USING (window_start)""")
 def window_close(spark, sf_dir):
-    """Tumbling 300 s windows of scored reports."""
-    rows = with_clock(states(spark, sf_dir)).groupBy(F.window("timestamp", "300 seconds").alias("w"))
-    out = rows.agg(F.count("*").alias("scored"), F.round(F.avg("velocity"), 6).alias("mean_velocity"), F.countDistinct("icao24").alias("aircraft"))
-    return out.select(F.unix_timestamp("w.start").alias("window_start"), "scored", "mean_velocity", "aircraft")
+    """Closed windows: counts and the error summaries of the model and of dead reckoning."""
+    return evaluate.close_windows(_made(spark, sf_dir), "ti", 86_400)
 
 
-@query("SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt FROM orders ORDER BY 1 LIMIT 500")
-def sorted_dates(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return o.select(F.to_date("o_orderdate").cast("string").alias("dt")).distinct().orderBy("dt").limit(500)
+@query(f"""SELECT (ti // 86400 + 1) * 86400 AS window_end, icao24, median(velocity) AS velocity, median(baro_altitude) AS baro_altitude FROM ({_MADE}) GROUP BY 1, 2""")
+def window_object_medians(spark, sf_dir):
+    return evaluate.window_medians(_made(spark, sf_dir), "ti", 86_400, ["velocity", "baro_altitude"])
+
+
+_ROLL_END = 1_704_844_800
+_ROLL = f"SELECT icao24, median(velocity) AS velocity, median(baro_altitude) AS baro_altitude FROM (SELECT (ti // 86400 + 1) * 86400 AS window_end, icao24, median(velocity) AS velocity, median(baro_altitude) AS baro_altitude FROM ({_MADE}) GROUP BY 1, 2) WHERE window_end <= {_ROLL_END} AND {_ROLL_END} - window_end <= 432000 GROUP BY 1"
+
+
+@query(f"""WITH r0 AS ({_MED.format(0)}), l0 AS ({_ROLL}), s AS (SELECT (SELECT count(DISTINCT icao24) FROM l0) AS aircraft, {_psi_of('velocity')} AS psi_velocity, {_psi_of('baro_altitude')} AS psi_baro_altitude)
+  SELECT *, CASE WHEN aircraft < 100 OR greatest(coalesce(psi_velocity, -1), coalesce(psi_baro_altitude, -1)) < 0 THEN 'insufficient' WHEN greatest(coalesce(psi_velocity, -1), coalesce(psi_baro_altitude, -1)) >= 0.25 THEN 'shifted' ELSE 'stable' END AS status FROM s""")
+def rolling_drift(spark, sf_dir):
+    """The verdict over the closed windows of a rolling span."""
+    reference = evaluate.per_object_median(positions(spark, sf_dir).where("event_id % 2 = 0"), ["icao24"], ["velocity", "baro_altitude"])
+    windows = evaluate.window_medians(_made(spark, sf_dir), "ti", 86_400, ["velocity", "baro_altitude"])
+    return evaluate.rolling_drift(reference, windows, ["velocity", "baro_altitude"], F.lit(_ROLL_END), 432_000, least_objects=100)
 
 
 @query("SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt FROM orders ORDER BY 1")
-def all_sorted_dates(spark, sf_dir):
-    """Every distinct date; ``sorted_dates`` shows the first 500."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return o.select(F.to_date("o_orderdate").cast("string").alias("dt")).distinct().orderBy("dt")
+def sorted_dates(spark, sf_dir):
+    """Every distinct date, in order."""
+    return adhoc.sorted_dates(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderdate")
 
 
 # --- planning --------------------------------------------------------------------------------------------------------
@@ -157,14 +186,19 @@ def missing_batches(spark, sf_dir):
     return planner.missing_ids(e.select(F.col("event_id").alias("batch_id")))
 
 
-_JOBS = "VALUES ('all', 0, 0, 0), ('nope', 0, 0, NULL), ('all', 1, 0, NULL), ('next_report', 0, 0, 950), ('compare_10s', 0, 2, NULL), ('compare_10s', 0, NULL, 100)"
+_TARGETS = "VALUES ('all'), ('nope'), ('next_report'), ('compare_10s'), ('idle')"
+_RECORDS = "SELECT CASE user_id % 3 WHEN 0 THEN 'all' WHEN 1 THEN 'next_report' ELSE 'compare_10s' END AS target, CASE WHEN event_type = 'error' AND event_id % 50 = 0 AND user_id % 3 = 0 THEN 'running' WHEN event_type = 'view' AND event_id % 40 = 1 AND user_id % 3 = 1 THEN 'queued' ELSE 'done' END AS state, event_id AS started FROM events"
 
 
-@query(f"""SELECT asked, running, dag_running, last_start, CAST(CASE WHEN asked NOT IN ('next_report', 'compare_10s', 'all') THEN 400 WHEN running > 0 THEN 409 WHEN last_start IS NOT NULL AND 1000 - last_start < 120 THEN 429 WHEN coalesce(dag_running, 0) > 0 THEN 409 ELSE 202 END AS BIGINT) AS code
-  FROM (SELECT asked, CAST(running AS BIGINT) AS running, CAST(dag_running AS BIGINT) AS dag_running, CAST(last_start AS BIGINT) AS last_start FROM ({_JOBS}) AS j(asked, running, dag_running, last_start))""")
+@query(f"""WITH t AS (SELECT * FROM ({_TARGETS}) AS t(asked)), r AS (SELECT target AS asked, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'queued') AS queued, max(started) AS last_start FROM ({_RECORDS}) GROUP BY 1),
+  j AS (SELECT asked, coalesce(running, 0) AS running, coalesce(queued, 0) AS queued, last_start FROM t LEFT JOIN r USING (asked))
+  SELECT asked, running, queued, last_start, CAST(CASE WHEN asked NOT IN ('next_report', 'compare_10s', 'all') THEN 400 WHEN running > 0 THEN 409 WHEN last_start IS NOT NULL AND (SELECT max(event_id) FROM events) + 5 - last_start < 6 THEN 429 WHEN queued > 0 THEN 409 ELSE 202 END AS BIGINT) AS code FROM j""")
 def job_admission(spark, sf_dir):
-    jobs = spark.sql(f"SELECT asked, CAST(running AS LONG) AS running, CAST(dag_running AS LONG) AS dag_running, CAST(last_start AS LONG) AS last_start FROM {_JOBS} AS j(asked, running, dag_running, last_start)")
-    return planner.admission(jobs, 1000)
+    """Verdicts from the job records: what is running or queued is counted."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    targets = spark.sql(f"SELECT * FROM ({_TARGETS}) AS t(asked)")
+    as_of = events.agg((F.max("event_id") + 5).alias("t")).scalar()
+    return planner.admission_of_records(targets, spark.sql(_RECORDS.replace("FROM events", "FROM {events}"), events=events), as_of, 6)
 
 
 @query("""SELECT id, CAST(epoch(strptime(substr(id, 1, 16), '%Y%m%dT%H%M%SZ')) AS BIGINT) AS started FROM (SELECT strftime(ts, '%Y%m%dT%H%M%SZ') || '-' || CAST(event_id AS VARCHAR) AS id FROM events)""")
@@ -200,8 +234,7 @@ def time_formats(spark, sf_dir):
 
 @query("SELECT count(*) AS n, max(snap_epoch) - min(snap_epoch) AS span_s, 1707000000 - max(snap_epoch) < 60 AS healthy, count(*) FILTER (callsign IN ('N/A')) > 0 AS busy FROM states")
 def heartbeat(spark, sf_dir):
-    s = states(spark, sf_dir)
-    return s.agg(F.count("*").alias("n"), (F.max("snap_epoch") - F.min("snap_epoch")).alias("span_s"), ((F.lit(1_707_000_000) - F.max("snap_epoch")) < 60).alias("healthy"), (F.count_if(F.col("callsign") == "N/A") > 0).alias("busy"))
+    return aggregates.heartbeat(states(spark, sf_dir), F.lit(1_707_000_000), F.col("callsign") == "N/A", "snap_epoch")
 
 
 @query("SELECT r.run_id, r.version, m.n AS metric_n, g.promoted FROM (SELECT DISTINCT user_id AS run_id, user_id % 4 AS version FROM events) r LEFT JOIN (SELECT user_id AS run_id, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1) m USING (run_id) LEFT JOIN (SELECT user_id AS run_id, max(value) > 150 AS promoted FROM events WHERE event_type = 'error' GROUP BY 1) g USING (run_id)")
@@ -214,19 +247,23 @@ def run_registry(spark, sf_dir):
     return runs.join(metrics, "run_id", "left").join(gates, "run_id", "left").select("run_id", "version", "metric_n", "promoted")
 
 
-# --- lake maintenance (rows only) ------------------------------------------------------------------------------------
+# --- lake maintenance ------------------------------------------------------------------------------------------------
 
 
 def _bronze(spark, sf_dir, folder, parts: int = 3):
-    """Bronze rows of some dates as several small files each."""
+    """Bronze rows of all dates, as several small files each."""
     s = with_clock(states(spark, sf_dir)).withColumns({
         "ingested_at": F.col("timestamp"), "squawk": F.lit(None).cast("string"), "geo_altitude": F.col("baro_altitude"), "dt": F.date_format(F.timestamp_seconds("snap_epoch"), "yyyy-MM-dd"),
     })
-    s.repartition(parts, F.pmod("event_id", F.lit(parts))).write.partitionBy("dt").parquet(f"{folder}/bronze")
+    for k in range(parts):
+        s.where(F.pmod("event_id", F.lit(parts)) == k).coalesce(1).write.mode("append").partitionBy("dt").parquet(f"{folder}/bronze")
     return f"{folder}/bronze"
 
 
-@query()
+_PER_DAY = f"SELECT {_DAY} AS dt, count(*) AS n_rows, count(DISTINCT event_id % 3) AS files FROM states GROUP BY 1"
+
+
+@query(f"SELECT dt, CASE WHEN files > 1 THEN 'merged' ELSE 'skipped' END AS first, 'skipped' AS again, files AS files_before, CAST(1 AS BIGINT) AS files_after, TRUE AS same, n_rows FROM ({_PER_DAY})")
 def compaction_roundtrip(spark, sf_dir):
     """Fingerprint of every date before and after compaction, and what the second call does."""
     folder = work_folder(spark)
@@ -241,7 +278,7 @@ def compaction_roundtrip(spark, sf_dir):
     return spark.createDataFrame(rows, "dt string, first string, again string, files_before long, files_after long, same boolean, n_rows long")
 
 
-@query()
+@query(f"SELECT event_date, n, CASE WHEN event_date = '2024-01-05' THEN n ELSE 0 END AS n_extra FROM (SELECT {_DAY} AS event_date, count(*) AS n FROM states GROUP BY 1)")
 def partition_overwrite(spark, sf_dir):
     """A partition written twice is there once; a column that came later is null before."""
     path = f"{work_folder(spark)}/table"
@@ -253,18 +290,41 @@ def partition_overwrite(spark, sf_dir):
     return lake.read_table(spark, path).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count("*").alias("n"), F.count("extra").alias("n_extra"))
 
 
-@query()
+@query(f"SELECT view, event_date, n FROM (SELECT 'trajectory' AS view, {_DAY} AS event_date, count(*) AS n FROM states GROUP BY 2) WHERE event_date >= '2024-01-10'")
+def registered_views(spark, sf_dir):
+    """SQL over the registered views, by date; only the asked dates are read."""
+    folder = work_folder(spark)
+    s = with_clock(states(spark, sf_dir)).withColumn("event_date", F.to_date("timestamp"))
+    lake.write_partition(s, f"{folder}/trajectory", "event_date")
+    found = lake.register_views(spark, folder)
+    parts = [spark.sql(f"SELECT '{v}' AS view, CAST(event_date AS STRING) AS event_date, count(*) AS n FROM {v} WHERE event_date >= DATE'2024-01-10' GROUP BY event_date") for v in found]
+    return parts[0]
+
+
+@query(f"SELECT dt, CAST(1 AS BIGINT) AS files FROM ({_PER_DAY}) WHERE CAST(substr(dt, 9, 2) AS INT) % 2 = 1")
 def late_files(spark, sf_dir):
+    """Dates that got a file after their marker: here every odd day of the month gets its rows once more."""
     folder = work_folder(spark)
     bronze = _bronze(spark, sf_dir, folder, 1)
-    for day in sorted(lake.dates_under(spark, bronze))[:2]:
+    days = sorted(lake.dates_under(spark, bronze))
+    for day in days:
         lake.write_marker(spark, f"{folder}/markers", day, 1, bronze, "v1")
-    day = sorted(lake.dates_under(spark, bronze))[0]
-    lake.read_date(spark, bronze, day).limit(1).write.mode("append").parquet(f"{bronze}/dt={day}")
+    time.sleep(1.1)  # files have times of whole seconds on some stores
+    for day in days:
+        if int(day[8:]) % 2:
+            lake.read_date(spark, bronze, day).coalesce(1).write.mode("append").parquet(f"{bronze}/dt={day}")
     return lake.late_files(spark, bronze, f"{folder}/markers").groupBy("dt").agg(F.count("*").alias("files"))
 
 
-@query()
+_RUN = f"""WITH sil AS (SELECT * EXCLUDE (rn) FROM (SELECT *, {_DAY} AS d, row_number() OVER (PARTITION BY icao24, snap_epoch ORDER BY event_id, snap_no) AS rn FROM states) WHERE rn = 1),
+  days AS (SELECT d, count(*) AS silver_rows FROM sil GROUP BY 1),
+  own AS (SELECT * FROM (SELECT days.d AS day, sil.*, row_number() OVER (PARTITION BY days.d, icao24, time_position ORDER BY snap_epoch) AS nth
+    FROM days JOIN sil ON sil.d = days.d OR sil.d = CAST(CAST(days.d AS DATE) - INTERVAL 1 DAY AS DATE)::VARCHAR WHERE time_position IS NOT NULL) WHERE nth = 1 AND d = day),
+  gold AS (SELECT day AS d, count(*) FILTER (on_ground = FALSE) AS trajectory, count(DISTINCT icao24) AS aircraft_daily, count(DISTINCT ({_HOUR}, origin_country)) AS traffic_hourly FROM own GROUP BY 1)
+  SELECT d AS dt, 'success' AS silver, silver_rows, 'success' AS gold, coalesce(trajectory, 0) AS trajectory, coalesce(aircraft_daily, 0) AS aircraft_daily, coalesce(traffic_hourly, 0) AS traffic_hourly, TRUE AS marked FROM days LEFT JOIN gold USING (d)"""
+
+
+@query(_RUN)
 def medallion_run(spark, sf_dir):
     """Silver and gold of every date; their counts and markers."""
     folder = work_folder(spark)
@@ -280,33 +340,113 @@ def medallion_run(spark, sf_dir):
 @query()
 def model_gbt(spark, sf_dir):
     """Errors of the model and of dead reckoning on the held-out segments, and the gate's verdict."""
-    rows = samples.group_split(samples.next_report(traj(spark, sf_dir), 1, GAP), "segment_id").where("y_north_m is not null and y_east_m is not null")
-    models = model.train(rows.where("is_train"), trees=5)
-    scored = model.predict(models, rows.where("not is_train"))
-    err = lambda n, e: F.sqrt((F.col(n) - F.col("y_north_m")) ** 2 + (F.col(e) - F.col("y_east_m")) ** 2)
-    out = scored.agg(F.count("*").alias("n"), F.round(F.percentile(err("north_m", "east_m"), F.lit(0.5)), 1).alias("model_p50"), F.round(F.percentile(err("dr_north_m", "dr_east_m"), F.lit(0.5)), 1).alias("baseline_p50"))
-    return out.withColumns(evaluate.gate(-F.col("model_p50"), -F.col("baseline_p50"), F.lit(None).cast("double")))
+    flown = traj(spark, sf_dir).withColumn("geo_altitude", F.col("baro_altitude"))
+    rows = samples.group_split(samples.next_report(flown, 1, GAP), "segment_id").where("y_north_m is not null and y_east_m is not null")
+    models = model.train(rows.where("is_train"), trees=QUERY_TREES)
+    return model.judged(models, None, rows.where("not is_train"), 100.0)
 
 
-@query()
+#: Boosting rounds of the registered query; ``model.train`` has 300. README has the time and error of either.
+QUERY_TREES = 20
+
+
+@query(f"""WITH h AS (SELECT win, row_number() OVER (ORDER BY win) AS version, hit FROM (SELECT event_id % 10 AS win, round(avg(CASE WHEN abs(velocity) + CAST(event_id % 190 AS DOUBLE) <= 100 THEN 1.0 ELSE 0.0 END) * 100, 1) AS hit FROM states GROUP BY 1)),
+  p AS (SELECT version, hit > coalesce(max(hit) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS promoted FROM h)
+  SELECT version, promoted, version = (SELECT max(version) FROM p WHERE promoted) AS champion FROM p""")
 def champion_registry(spark, sf_dir):
-    folder = work_folder(spark)
-    registry = model.Registry(Store(spark), f"{folder}/registry.json")
-    registry.record({"hit_100m_pct": 50.0}, True, "first champion")
-    registry.record({"hit_100m_pct": 40.0}, False, "not above champion")
-    state = registry.record({"hit_100m_pct": 60.0}, True, "above both")
+    """Ten candidates in turn, each a window's hit rate: one that beats the champion takes its place."""
+    err = F.abs("velocity") + (F.col("event_id") % 190).cast("double")
+    rates = evaluate.hit_rate(states(spark, sf_dir).select((F.col("event_id") % 10).alias("win"), err.alias("err")), ["win"], 100).orderBy("win").collect()  # ten rows
+    registry = model.Registry(Store(spark), f"{work_folder(spark)}/registry.json")
+    best = -1.0
+    for r in rates:
+        state = registry.record({"hit_100m_pct": r.hit_pct}, r.hit_pct > best, "above champion" if r.hit_pct > best else "not above champion")
+        best = max(best, r.hit_pct)
     return spark.createDataFrame([(v["version"], v["promoted"], v["version"] == state["champion"]) for v in state["versions"]], "version long, promoted boolean, champion boolean")
 
 
-@query()
+@query(f"""SELECT '{{"count":' || count(*) || ',"flights":[' || string_agg('{{"icao24":"' || icao24 || '","callsign":"' || callsign || '","country":"' || origin_country || '","snapshot":' || snap_epoch || '}}', ',' ORDER BY icao24) || ']}}' AS message
+  FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY snap_epoch DESC, event_id) AS rn FROM states WHERE snap_epoch <= {AS_OF}) WHERE rn = 1""")
 def envelope(spark, sf_dir):
-    from driftglass.catalog.telemetry import latest
-    from driftglass.operators import live
-
-    return live.envelope(latest(spark, sf_dir), ["icao24", "callsign", "altitude"])
+    return live.envelope(latest(spark, sf_dir).withColumn("snapshot", F.col("snap_epoch")), ["icao24", "callsign", "country", "snapshot"])
 
 
-@query()
+@query(f"""WITH n AS (SELECT icao24, time_position AS t, CASE WHEN lag(time_position) OVER w IS NULL OR time_position - lag(time_position) OVER w > {GAP} THEN 1 ELSE 0 END AS b FROM pos WINDOW w AS (PARTITION BY icao24 ORDER BY time_position)),
+  g AS (SELECT icao24, t, sum(b) OVER (PARTITION BY icao24 ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM n)
+  SELECT icao24, min(t) AS seg_start, count(*) AS n_points FROM g GROUP BY icao24, k""")
 def aircraft_segments_native(spark, sf_dir):
     """Sessions by the native window over all reports."""
     return segments.session_counts(positions(spark, sf_dir), "icao24", F.timestamp_seconds("time_position"), GAP)
+
+
+# --- runs and reports ------------------------------------------------------------------------------------------------
+
+_RUNS = """SELECT user_id AS k, min(event_id) AS s, count(*) AS n, max(value) > 150 AS promoted, round(avg(value), 4) AS p50 FROM events GROUP BY 1"""
+
+
+def _runs(spark, sf_dir):
+    """One run record per user of the events, as JSON files, read back."""
+    folder = f"{work_folder(spark)}/runs"
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    per = e.groupBy(F.col("user_id").alias("k")).agg(F.min("event_id").alias("s"), F.count("*").alias("n"), (F.max("value") > 150).alias("promoted"), F.round(F.avg("value"), 4).alias("p50"))
+    rows = per.select(
+        F.format_string("r%06d", "k").alias("run_id"), F.when(F.col("k") % 2 == 0, "next_report").otherwise("compare_10s").alias("model"), F.col("k").alias("version"),
+        F.timestamp_seconds(F.col("s") * 60).alias("started"), F.create_map(F.lit("p50"), F.col("p50"), F.lit("n"), F.col("n").cast("double")).alias("metrics"), "promoted", F.lit("x").alias("reason"),
+    )
+    rows.write.json(folder)
+    return reports.read_runs(spark, folder, lines=True)
+
+
+@query(f"""WITH r AS ({_RUNS}) SELECT 'r' || lpad(CAST(k AS VARCHAR), 6, '0') AS run_id, CASE k % 2 WHEN 0 THEN 'next_report' ELSE 'compare_10s' END AS model, k AS version, p50 AS value, row_number() OVER (ORDER BY p50, s, k) AS place FROM r""")
+def ranked_runs(spark, sf_dir):
+    """Runs from best to worst by a metric, ties by start."""
+    return reports.ranked(_runs(spark, sf_dir), "p50").select("run_id", "model", "version", "value", F.col("place").cast("long").alias("place"))
+
+
+@query(f"""WITH r AS ({_RUNS}), c AS (SELECT k % 2 AS m, max(k) AS champion FROM r WHERE promoted GROUP BY 1)
+  SELECT 'r' || lpad(CAST(k AS VARCHAR), 6, '0') AS run_id, s * 60 AS started, k IS NOT DISTINCT FROM champion AS is_champion, promoted, p50, nth FROM (SELECT r.*, champion, row_number() OVER (ORDER BY s, k) AS nth FROM r LEFT JOIN c ON c.m = k % 2) WHERE nth <= 500""")
+def exported_report(spark, sf_dir):
+    """The report's text, parsed again: the first 500 runs (its length is its feature) with their champions."""
+    runs = _runs(spark, sf_dir)
+    champion = runs.where("promoted").groupBy("model").agg(F.max("version").alias("champion"))
+    text_of = reports.export_report(runs, champion)
+    one = "struct<runs: array<struct<run_id: string, started: timestamp, is_champion: boolean, promoted: boolean, metrics: map<string, double>>>>"
+    parsed = text_of.select(F.posexplode(F.from_json("report", one).getField("runs")).alias("nth", "r"))
+    return parsed.select("r.run_id", F.unix_timestamp("r.started").alias("started"), "r.is_champion", "r.promoted", F.col("r.metrics")["p50"].alias("p50"), (F.col("nth") + 1).cast("long").alias("nth"))
+
+
+@query("SELECT event_id, string_agg(line, chr(10) ORDER BY k) AS tail FROM (SELECT event_id, k, line, row_number() OVER (PARTITION BY event_id ORDER BY k DESC) AS back FROM (SELECT event_id, k, CASE k % 3 WHEN 0 THEN 'ML_STEP ' || k WHEN 1 THEN 'noise' ELSE 'ValueError: ' || user_id END AS line FROM events, (SELECT unnest(range(0, 20)) AS k)) WHERE line <> 'noise') WHERE back <= 8 GROUP BY 1")
+def log_tails(spark, sf_dir):
+    """The last eight notable lines of every log."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lines = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.when(k % 3 == 0, F.concat(F.lit("ML_STEP "), k.cast("string"))).when(k % 3 == 1, F.lit("noise")).otherwise(F.concat(F.lit("ValueError: "), F.col("user_id").cast("string"))))
+    return e.select("event_id", F.array_join(text.log_tail(F.array_join(lines, "\n")), "\n").alias("tail"))
+
+
+_DATE_TEXTS = "SELECT event_id, CASE event_id % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%d') || 'x' WHEN 2 THEN '2024-13-01' WHEN 3 THEN '2023-02-29' WHEN 4 THEN '2024-1-5' ELSE '2024-02-29' END AS body FROM events"
+
+
+@query(f"SELECT event_id, body, CASE event_id % 6 WHEN 0 THEN body WHEN 5 THEN body END AS day FROM ({_DATE_TEXTS})")
+def strict_dates(spark, sf_dir):
+    """YYYY-MM-DD or nothing."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k, day = F.col("event_id") % 6, F.date_format("ts", "yyyy-MM-dd")
+    body = F.when(k == 0, day).when(k == 1, F.concat(day, F.lit("x"))).when(k == 2, "2024-13-01").when(k == 3, "2023-02-29").when(k == 4, "2024-1-5").otherwise("2024-02-29")
+    return e.select("event_id", body.alias("body")).withColumn("day", text.date_text(F.col("body")).cast("string"))
+
+
+@query("SELECT user_id, substr(sha256(string_agg(event_type, chr(0) ORDER BY event_id)), 1, 12) AS version FROM events GROUP BY 1")
+def content_versions(spark, sf_dir):
+    """Twelve hex digits of a digest over contents in order."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"])
+    return e.groupBy("user_id").agg(parts.alias("parts")).select("user_id", text.version_of(F.col("parts")).alias("version"))
+
+
+@query("SELECT event_id, iso, CAST(floor(epoch(ts)) AS BIGINT) AS at FROM (SELECT event_id, ts, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE event_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+00:00' ELSE '' END AS iso FROM events)")
+def parsed_times(spark, sf_dir):
+    """ISO texts with and without an offset; without one they are UTC."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.col("event_id") % 3
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(k == 0, "Z").when(k == 1, "+00:00").otherwise(""))
+    return e.select("event_id", iso.alias("iso")).withColumn("at", F.unix_timestamp(text.parsed_time(F.col("iso"))))

@@ -38,7 +38,7 @@ _POSITIONS = """pos AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY icao24, time_position ORDER BY snap_epoch, event_id) AS rn FROM states WHERE time_position IS NOT NULL) WHERE rn = 1)"""
 
 #: Fixed SQL of the trajectory, shared by the oracles that build on it.
-_TRAJ = f"""seg0 AS (SELECT *, CASE WHEN lag(time_position) OVER w IS NULL OR time_position - lag(time_position) OVER w > {GAP} THEN 1 ELSE 0 END AS ns
+_TRAJ = """seg0 AS (SELECT *, CASE WHEN lag(time_position) OVER w IS NULL OR time_position - lag(time_position) OVER w > {gap} THEN 1 ELSE 0 END AS ns
   FROM pos WHERE on_ground = FALSE WINDOW w AS (PARTITION BY icao24 ORDER BY time_position)),
 seg1 AS (SELECT *, sum(ns) OVER (PARTITION BY icao24 ORDER BY time_position ROWS UNBOUNDED PRECEDING) AS sn FROM seg0),
 seg2 AS (SELECT *, min(time_position) OVER (PARTITION BY icao24, sn) AS seg_start FROM seg1),
@@ -53,13 +53,13 @@ traj1 AS (SELECT *, icao24 || '_' || CAST(seg_start AS VARCHAR) AS segment_id, t
 traj AS (SELECT *, dist_m / nullif(dt_s, 0) AS calc_speed_mps, coalesce(dist_m / nullif(dt_s, 0) > 340, FALSE) AS is_outlier FROM traj1)"""
 
 
-def duck(query: str) -> str:
-    """DuckDB SQL over states, and pos and traj where the query names them."""
+def duck(query: str, gap: int = GAP) -> str:
+    """DuckDB SQL over states, and pos and traj (segments by ``gap``) where the query names them."""
     parts = [f"states AS ({_DUCK})"]
     if "pos" in query or "traj" in query:
         parts.append(_POSITIONS)
     if "traj" in query:
-        parts.append(_TRAJ)
+        parts.append(_TRAJ.format(gap=gap))
     body = query.strip()
     if body[:5].upper() == "WITH ":
         return f"WITH {', '.join(parts)}, {body[5:]}"

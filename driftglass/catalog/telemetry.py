@@ -16,11 +16,11 @@ ORDER = ["snap_epoch", "event_id"]
 AS_OF = 1_705_000_000
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, gap: int = GAP):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = duck(sql) if "states" in sql or "pos" in sql or "traj" in sql else sql
+            ORACLES[f.__name__] = duck(sql, gap) if "states" in sql or "pos" in sql or "traj" in sql else sql
         return f
 
     return add
@@ -77,9 +77,14 @@ def drop_reasons(spark, sf_dir):
 
 @query(f"SELECT snap_epoch // 86400 AS day, count(*) AS polls, count(*) FILTER (k IS NULL) AS null_keys FROM ({_KEYED}) GROUP BY 1 HAVING count(*) FILTER (k IS NULL) > 0")
 def null_key_count(spark, sf_dir):
-    key = F.when(F.col("event_id") % 101 != 0, F.col("icao24"))
-    per = states(spark, sf_dir).groupBy(F.floor(F.col("snap_epoch") / 86400).alias("day")).agg(F.count("*").alias("polls"), F.count_if(key.isNull()).alias("null_keys"))
-    return per.where("null_keys > 0")
+    keyed = states(spark, sf_dir).withColumn("icao24", F.when(F.col("event_id") % 101 != 0, F.col("icao24")))
+    return aggregates.null_keys(keyed, F.floor(F.col("snap_epoch") / 86400).alias("day"))
+
+
+@query(f"SELECT day, sum(null_keys) OVER (ORDER BY day)::BIGINT AS so_far FROM (SELECT snap_epoch // 86400 AS day, count(*) FILTER (k IS NULL) AS null_keys FROM ({_KEYED}) GROUP BY 1) WHERE null_keys > 0")
+def null_key_total(spark, sf_dir):
+    """The running total of reports without a key."""
+    return aggregates.running_total(null_key_count(spark, sf_dir), "day", "null_keys").select("day", F.col("so_far"))
 
 
 @query("SELECT event_id, CAST(props::JSON->>'k' AS BIGINT) AS k FROM events")
@@ -245,15 +250,25 @@ def quality_profile(spark, sf_dir):
     return aggregates.quality_profile(rows, F.date_add(F.lit("1970-01-01").cast("date"), 19732), F.col("timestamp"))
 
 
-@query(f"""WITH per AS (SELECT {_HOUR} AS hour_utc, count(DISTINCT icao24) AS n FROM pos GROUP BY 1) SELECT hour_utc, n FROM per""")
+@query(f"SELECT {_HOUR} AS hour_utc, origin_country, count(DISTINCT icao24) AS n, TRUE AS n_close, TRUE AS flying_close, count(*) AS obs_count FROM pos GROUP BY 1, 2")
 def hourly_sketch(spark, sf_dir):
-    """Exact counts beside the sketch form, which tests hold against them."""
-    return longs(positions(spark, sf_dir).groupBy(F.hour(F.timestamp_seconds("snap_epoch")).alias("hour_utc")).agg(F.countDistinct("icao24").alias("n")), "hour_utc")
+    """Exact counts, and whether the sketch's are within five standard errors (or one object) of them."""
+    p, at = positions(spark, sf_dir), F.timestamp_seconds("snap_epoch")
+    exact, sketch = aggregates.hourly(p, at), aggregates.hourly_approx(p, at, 0.02)
+    both = exact.alias("x").join(sketch.alias("s"), ["hour_utc", "origin_country"])
+    near = lambda c: F.abs(F.col(f"s.{c}") - F.col(f"x.{c}")) <= F.greatest(F.lit(1.0), 0.1 * F.col(f"x.{c}"))
+    out = both.select("hour_utc", "origin_country", F.col("x.aircraft_count").alias("n"), near("aircraft_count").alias("n_close"), near("airborne_aircraft").alias("flying_close"), F.col("s.obs_count").alias("obs_count"))
+    return longs(out, "hour_utc")
+
 
+_PRINT = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in ("callsign", "event_id", "icao24", "on_ground", "origin_country", "snap_epoch", "snap_no", "time_position"))
 
-@query("SELECT count(*) AS n_rows FROM states")
+
+@query(f"SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5({_PRINT}), 1, 12) AS HUGEINT)) AS VARCHAR) AS hash_sum FROM states")
 def fingerprint(spark, sf_dir):
-    return aggregates.fingerprint(states(spark, sf_dir)).select("n_rows")
+    """The portable digest, over columns that print alike in every engine."""
+    whole = states(spark, sf_dir).drop("latitude", "longitude", "baro_altitude", "velocity", "true_track", "vertical_rate")
+    return aggregates.fingerprint(whole, digest=aggregates.portable_digest).withColumn("hash_sum", F.col("hash_sum").cast("string"))
 
 
 # --- live ----------------------------------------------------------------------------------------------------------
@@ -458,15 +473,10 @@ def metric_rows(spark, sf_dir):
 @query(f"""WITH s AS (SELECT method, round(avg(CASE WHEN err <= 50 THEN 1.0 ELSE 0.0 END) * 100, 1) AS h, round(quantile_cont(err, 0.5), 1) AS p FROM ({_ERRORS}) GROUP BY 1)
   SELECT method, h = max(h) OVER () AS best_hit, p = min(p) OVER () AS best_p50, round(((SELECT p FROM s WHERE method = 'method_0') - p) * 100 / (SELECT p FROM s WHERE method = 'method_0'), 6) AS improvement_pct FROM s""")
 def best_metric_flags(spark, sf_dir):
-    from pyspark.sql import Window
-
     s = evaluate.error_summary(_errors(spark, sf_dir), ["method"])  # a row per method
-    everything = Window.partitionBy(F.lit(1))
-    base = F.max(F.when(F.col("method") == "method_0", F.col("p50_m"))).over(everything)
-    return s.select(
-        "method", (F.col("hit_50m_pct") == F.max("hit_50m_pct").over(everything)).alias("best_hit"), (F.col("p50_m") == F.min("p50_m").over(everything)).alias("best_p50"),
-        F.round(evaluate.improvement_pct(base, F.col("p50_m")), 6).alias("improvement_pct"),
-    )
+    flagged_rows = evaluate.best_flags(s, {"hit_50m_pct": "max", "p50_m": "min"})
+    base = s.where("method = 'method_0'").select("p50_m").scalar()
+    return flagged_rows.select("method", F.col("best_hit_50m_pct").alias("best_hit"), F.col("best_p50_m").alias("best_p50"), F.round(evaluate.improvement_pct(base, F.col("p50_m")), 6).alias("improvement_pct"))
 
 
 def _pending(spark, sf_dir):
@@ -489,17 +499,43 @@ def score_pending(spark, sf_dir):
     return rounded(rows, 3, "err_model", "moved").select("icao24", "ti", "state", "err_model", "moved")
 
 
-@query()
+_GRID = f"""WITH r0 AS (SELECT segment_id, time_position AS t, latitude, longitude, velocity, true_track FROM traj WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+  r1 AS (SELECT *, count(*) OVER (PARTITION BY segment_id) AS n, first_value(latitude) OVER s AS lat0, first_value(longitude) OVER s AS lon0, CASE WHEN lag(t) OVER s IS NULL OR t - lag(t) OVER s > 86400 THEN 1 ELSE 0 END AS nb FROM r0 WINDOW s AS (PARTITION BY segment_id ORDER BY t)),
+  r2 AS (SELECT *, (latitude - lat0) * 111320.0 AS no, (longitude - lon0) * 111320.0 * cos(radians(lat0)) AS ea, sum(nb) OVER (PARTITION BY segment_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM r1 WHERE n >= 3),
+  r3 AS (SELECT *, min(t) OVER w AS t0, max(t) OVER w AS t1 FROM r2 WINDOW w AS (PARTITION BY segment_id, run)),
+  o AS (SELECT *, least(64, (t - t0) // 3600) AS context FROM r3 WHERE t + 3600 <= t1 AND t - 6 * 3600 >= t0 AND velocity IS NOT NULL AND true_track IS NOT NULL),
+  g AS (SELECT segment_id, run, t, k, t + k * 3600 AS g FROM o, (SELECT unnest(range(-64, 2)) AS k) WHERE k >= -context),
+  a AS (SELECT g.*, r3.t AS ta, r3.no AS na, r3.ea AS xa FROM g ASOF JOIN r3 ON g.segment_id = r3.segment_id AND g.run = r3.run AND g.g >= r3.t),
+  b AS (SELECT a.*, r3.t AS tb, r3.no AS nb, r3.ea AS xb FROM a ASOF JOIN r3 ON a.segment_id = r3.segment_id AND a.run = r3.run AND a.g <= r3.t),
+  p AS (SELECT segment_id, t, k, CASE WHEN ta = tb THEN na ELSE na + (nb - na) * CAST(g - ta AS DOUBLE) / (tb - ta) END AS n, CASE WHEN ta = tb THEN xa ELSE xa + (xb - xa) * CAST(g - ta AS DOUBLE) / (tb - ta) END AS e FROM b),
+  moved AS (SELECT segment_id, t, max(n) FILTER (k = 0) - max(n) FILTER (k = -1) AS mn, max(e) FILTER (k = 0) - max(e) FILTER (k = -1) AS me, max(n) FILTER (k = 1) AS n1, max(e) FILTER (k = 1) AS e1, count(*) AS points FROM p GROUP BY 1, 2)
+  SELECT segment_id, t AS time_position, CAST(context AS BIGINT) AS context, points, round(mn, 3) + 0.0 AS move_n_t_minus_1, round(me, 3) + 0.0 AS move_e_t_minus_1, round(velocity * 3600 * cos(radians(true_track)), 3) + 0.0 AS dr_north_m,
+    round(n1 - no, 3) + 0.0 AS y_north_m, round(e1 - ea, 3) + 0.0 AS y_east_m FROM o JOIN moved USING (segment_id, t)"""
+
+
+@query(_GRID, gap=86_400)
 def grid_samples(spark, sf_dir):
     rows = samples.grid_samples(segments.trajectory(positions(spark, sf_dir), 86_400), 3600, 86_400, 6, 64)
-    return rows.select("segment_id", "time_position", F.col("context").cast("long").alias("context"), *(F.round(c, 3).alias(c) for c in ("move_n_t_minus_1", "move_e_t_minus_1", "dr_north_m", "y_north_m", "y_east_m")))
+    points = (F.size("move_n") + 2).cast("long").alias("points")  # a move less than points, and the one ahead
+    return rows.select("segment_id", "time_position", F.col("context").cast("long").alias("context"), points, *((F.round(c, 3) + 0.0).alias(c) for c in ("move_n_t_minus_1", "move_e_t_minus_1", "dr_north_m", "y_north_m", "y_east_m")))
+
 
+def _hash_sql(*keys: str) -> str:
+    text = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"CAST('0x' || substr(md5('42/' || {text}), 1, 8) AS BIGINT)"
 
-@query()
+
+@query(f"SELECT is_train, count(*) AS n, count(DISTINCT segment_id) AS segments FROM (SELECT segment_id, {_hash_sql('segment_id')} % 100 < 80 AS is_train FROM traj) GROUP BY 1")
 def group_split(spark, sf_dir):
     return samples.group_split(traj(spark, sf_dir), "segment_id").groupBy("is_train").agg(F.count("*").alias("n"), F.countDistinct("segment_id").alias("segments"))
 
 
-@query()
+@query(f"SELECT count(*) AS overlap FROM (SELECT segment_id FROM traj WHERE {_hash_sql('segment_id')} % 100 < 80 INTERSECT SELECT segment_id FROM traj WHERE {_hash_sql('segment_id')} % 100 >= 80)")
+def group_overlap(spark, sf_dir):
+    rows = samples.group_split(traj(spark, sf_dir), "segment_id")
+    return samples.group_overlap(rows.where("is_train"), rows.where("not is_train"), "segment_id")
+
+
+@query(f"SELECT event_id, icao24 FROM (SELECT * FROM pos ORDER BY {_hash_sql('event_id', 'snap_no')}, event_id, snap_no LIMIT 500)")
 def seeded_sample(spark, sf_dir):
     return samples.seeded_sample(positions(spark, sf_dir), ["event_id", "snap_no"], 500).select("event_id", "icao24")

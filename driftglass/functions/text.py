@@ -66,3 +66,14 @@ def strict_date(text: str) -> date:
 def content_version(*parts: bytes) -> str:
     """Twelve hex digits of a digest of the given contents."""
     return hashlib.sha256(b"\0".join(parts)).hexdigest()[:12]
+
+
+def date_text(text: Column) -> Column:
+    """``strict_date`` as an expression: a date from YYYY-MM-DD, null from anything else."""
+    got = F.try_to_date(text, "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+    return F.when(F.date_format(got, "yyyy-MM-dd") == text, got)
+
+
+def version_of(parts: Column) -> Column:
+    """``content_version`` of an array of texts."""
+    return F.substring(F.sha2(F.array_join(parts, "\0").cast("binary"), 256), 1, 12)

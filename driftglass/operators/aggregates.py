@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftglass.operators.segments import airborne
@@ -78,9 +80,40 @@ def hourly_approx(positions: DataFrame, snapshot: Column, error: float = 0.02) -
     )
 
 
-def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Order-independent content fingerprint: rows and the sum of row hashes; duplicates count."""
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.xxhash64(*(columns or sorted(df.columns))).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"))
+def fast_digest(columns: list[str]) -> Column:
+    return F.xxhash64(*columns).cast("decimal(38,0)")
+
+
+def portable_digest(columns: list[str]) -> Column:
+    """48 bits of the md5 of the values as text, in column order: the same in any engine, for values that print alike."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("decimal(38,0)")
+
+
+def fingerprint(df: DataFrame, columns: list[str] | None = None, digest: Callable[[list[str]], Column] = fast_digest) -> DataFrame:
+    """Order-independent content fingerprint: rows and the sum of row digests; duplicates count."""
+    total = F.sum(digest(columns or sorted(df.columns)))
+    return df.agg(F.count("*").alias("n_rows"), F.coalesce(total, F.lit(0)).cast("decimal(38,0)").alias("hash_sum"))
+
+
+def null_keys(df: DataFrame, *by: Column, key: str = "icao24") -> DataFrame:
+    """Reports (polls) and those without a key, for the groups that have such."""
+    return df.groupBy(*by).agg(F.count("*").alias("polls"), F.count_if(F.col(key).isNull()).alias("null_keys")).where("null_keys > 0")
+
+
+def running_total(df: DataFrame, at: str, n: str) -> DataFrame:
+    """Add so_far, the sum of ``n`` up to each ``at``. ``df`` is a small aggregate: a row per period."""
+    return df.withColumn("so_far", F.sum(n).over(Window.orderBy(at)))
+
+
+def heartbeat(df: DataFrame, as_of: Column, busy: Column, snapshot: str = "timestamp", stale_s: int = 60) -> DataFrame:
+    """One row on a writer's life: rows, the seconds they span, whether the newest is recent, and whether it is busy."""
+    return df.agg(
+        F.count("*").alias("n"),
+        (F.max(snapshot) - F.min(snapshot)).alias("span_s"),
+        ((as_of - F.max(snapshot)) < stale_s).alias("healthy"),
+        (F.count_if(busy) > 0).alias("busy"),
+    )
 
 
 def health(df: DataFrame, snapshot: Column, as_of: Column, stale_s: int = 120) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftglass.operators.quantiles import FEW, quantiles
+
 THRESHOLDS_M = (50, 100, 200)
 
 
@@ -12,31 +14,33 @@ def _percent(hit: Column) -> Column:
     return F.round(F.avg(F.when(hit, 1.0).otherwise(0.0)) * 100, 1)
 
 
-def summary_columns(err: str, actual: str) -> list[Column]:
+def error_summary(df: DataFrame, by: list[str], err: str = "err", actual: str = "actual", few: int = FEW) -> DataFrame:
     """Mean, median, p90, hit rates (a hit is at most the threshold) and relative accuracy: 1 - median of ratios."""
     ratio = F.col(err) / F.greatest(F.col(actual), F.lit(1e-9))
-    return [
+    tails = quantiles(df, by, {"_err": F.col(err), "_ratio": ratio}, [0.5, 0.9], few)
+    sums = df.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.round(F.avg(err), 1).alias("mean_m"),
-        F.round(F.percentile(err, F.lit(0.5)), 1).alias("p50_m"),
-        F.round(F.percentile(err, F.lit(0.9)), 1).alias("p90_m"),
         *(_percent(F.col(err) <= t).alias(f"hit_{t}m_pct") for t in THRESHOLDS_M),
-        F.round((1 - F.percentile(ratio, F.lit(0.5))) * 100, 1).alias("relative_accuracy_pct"),
-    ]
-
-
-def error_summary(df: DataFrame, by: list[str], err: str = "err", actual: str = "actual") -> DataFrame:
-    return df.groupBy(*by).agg(*summary_columns(err, actual))
+    )
+    out = sums.join(F.broadcast(tails), by) if by else sums.crossJoin(tails)  # a row per group
+    return out.select(
+        *by, "n", "mean_m",
+        F.round(F.get("_err", F.lit(0)), 1).alias("p50_m"),
+        F.round(F.get("_err", F.lit(1)), 1).alias("p90_m"),
+        *(f"hit_{t}m_pct" for t in THRESHOLDS_M),
+        F.round((1 - F.get("_ratio", F.lit(0))) * 100, 1).alias("relative_accuracy_pct"),
+    )
 
 
 def hit_rate(df: DataFrame, by: list[str], threshold: float, err: str = "err") -> DataFrame:
     return df.groupBy(*by).agg(_percent(F.col(err) <= threshold).alias("hit_pct"))
 
 
-def decile_edges(df: DataFrame, value: str) -> DataFrame:
+def decile_edges(df: DataFrame, value: str, few: int = FEW) -> DataFrame:
     """Distinct inner decile edges; the outer bins are open."""
-    tenths = F.array(*[F.lit(k / 10) for k in range(11)])
-    edges = df.where(F.col(value).isNotNull()).agg(F.percentile(value, tenths).alias("q")).select(F.array_distinct("q").alias("q"))
+    edges = quantiles(df.where(F.col(value).isNotNull()), [], {"q": F.col(value)}, [k / 10 for k in range(11)], few)
+    edges = edges.select(F.array_distinct("q").alias("q"))
     return edges.select(F.slice("q", F.lit(2), F.greatest(F.size("q") - 2, F.lit(0))).alias("edges"))
 
 
@@ -95,6 +99,48 @@ def improvement_pct(base: Column, value: Column) -> Column:
     return F.try_divide((base - value) * 100, base)
 
 
+def best_flags(df: DataFrame, best: dict[str, str]) -> DataFrame:
+    """Add best_<metric>: whether a row has the best value of it (``best``: metric to 'max' or 'min').
+
+    The best values are one row, so nothing is gathered.
+    """
+    top = df.agg(*((F.max if way == "max" else F.min)(m).alias(m) for m, way in best.items()))
+    return df.withColumns({f"best_{m}": F.col(m) == top.select(m).scalar() for m in best})
+
+
+def recent(df: DataFrame, at: str, as_of: Column, span_s: float) -> DataFrame:
+    """Rows of the ``span_s`` seconds up to ``as_of``: the rolling input of the drift verdict."""
+    return df.where((F.col(at) <= as_of) & (as_of - F.col(at) <= span_s))
+
+
+def rolling_drift(reference: DataFrame, windows: DataFrame, values: list[str], as_of: Column, span_s: float = 21_600, least_objects: int = 200, shifted: float = 0.25) -> DataFrame:
+    """Verdict over each object's median of its window medians of the last ``span_s`` seconds.
+
+    ``windows`` has window_end, icao24 and the values, a row per object and closed window (``window_medians``).
+    """
+    live = per_object_median(recent(windows, "window_end", as_of, span_s), ["icao24"], values)
+    return drift_verdict(reference, live, values, least_objects, shifted)
+
+
+def window_medians(origins: DataFrame, at: str, width_s: int, values: list[str]) -> DataFrame:
+    """(window_end, icao24, values): per-object medians of every tumbling window."""
+    end = (F.floor(F.col(at) / width_s) + 1) * width_s
+    return per_object_median(origins.withColumn("window_end", end), ["window_end", "icao24"], values)
+
+
+def close_windows(scored: DataFrame, at: str, width_s: int, few: int = FEW) -> DataFrame:
+    """A row per tumbling window with predictions: how many were made, scored and given up, and the error summaries of the
+    model and of the baseline. ``scored`` has state (scored, giveup or keep), err_model, err_dr and moved."""
+    rows = scored.withColumn("window_start", F.floor(F.col(at) / width_s) * width_s)
+    is_state = lambda s: F.count_if(F.col("state") == s)
+    out = rows.groupBy("window_start").agg(F.count("*").alias("predictions"), is_state("scored").alias("scored"), is_state("giveup").alias("unscorable"))
+    done = rows.where("state = 'scored'")
+    for side, err in (("model", "err_model"), ("baseline", "err_dr")):
+        s = error_summary(done, ["window_start"], err, "moved", few).drop("n")
+        out = out.join(s.select("window_start", *(F.col(c).alias(f"{side}_{c}") for c in s.columns if c != "window_start")), "window_start", "left")
+    return out
+
+
 def metric_rows(df: DataFrame, method: str, metrics: list[str]) -> DataFrame:
     """Wide metrics to (method/metric, value) rows."""
     long = df.unpivot([method], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")

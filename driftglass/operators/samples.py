@@ -23,27 +23,28 @@ def next_report(traj: DataFrame, least_s: int = 1, most_s: int = 60) -> DataFram
 def bracketed(rows: DataFrame, asked: DataFrame, keys: list[str], t: str, values: list[str], at: str = "at") -> DataFrame:
     """As-of interpolation: ``values`` at the times ``at`` of ``asked``, held beyond the first and last row.
 
-    Union and sort instead of a range join: one exchange on the keys, no pairs.
+    Union and sort instead of a range join: one exchange on the keys, no pairs. Other columns of ``asked`` are kept.
     """
-    marked = rows.select(*keys, F.col(t).alias("_t"), *values, F.lit(0).alias("_q")).unionByName(asked.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_q")), allowMissingColumns=True)
+    carried = [c for c in asked.columns if c not in (*keys, at)]
+    marked = rows.select(*keys, F.col(t).alias("_t"), *values, F.lit(0).alias("_q")).unionByName(asked.select(*keys, F.col(at).alias("_t"), *carried, F.lit(1).alias("_q")), allowMissingColumns=True)
+    # both frames grow from their first row, one in ascending and one in descending time
     up = Window.partitionBy(*keys).orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy(*keys).orderBy("_t", F.desc("_q")).rowsBetween(0, Window.unboundedFollowing)
-    known = lambda c: F.when(F.col("_q") == 0, F.col(c))
-    cols = {"_t0": F.last(known("_t"), ignorenulls=True).over(up), "_t1": F.first(known("_t"), ignorenulls=True).over(down)}
+    down = Window.partitionBy(*keys).orderBy(F.desc("_t"), "_q").rowsBetween(Window.unboundedPreceding, 0)
+    known = F.when(F.col("_q") == 0, F.struct("_t", *values))
+    out = marked.withColumn("_a", F.last(known, ignorenulls=True).over(up)).withColumn("_b", F.last(known, ignorenulls=True).over(down)).where("_q = 1")
     for v in values:
-        cols |= {f"_{v}0": F.last(known(v), ignorenulls=True).over(up), f"_{v}1": F.first(known(v), ignorenulls=True).over(down)}
-    out = marked.withColumns(cols).where("_q = 1")
-    for v in values:
-        lo, hi = F.col(f"_{v}0"), F.col(f"_{v}1")
-        out = out.withColumn(v, F.when(lo.isNull(), hi).when(hi.isNull(), lo).otherwise(geo.interpolated(F.col("_t"), F.col("_t0"), lo, F.col("_t1"), hi)))
-    return out.select(*keys, F.col("_t").alias(at), *values)
+        lo, hi = F.col(f"_a.{v}"), F.col(f"_b.{v}")
+        line = geo.interpolated(F.col("_t"), F.col("_a._t"), lo, F.col("_b._t"), hi)
+        out = out.withColumn(v, F.when(lo.isNull(), hi).when(hi.isNull(), lo).otherwise(line))
+    return out.select(*keys, F.col("_t").alias(at), *values, *carried)
 
 
 def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int = 6, most: int = 64) -> DataFrame:
     """One sample per report: displacements on a grid that ends at the report, and the position one step later.
 
     A report needs ``least`` steps of unbroken context behind it and a report at least one step ahead in its run. The
-    grid's points are interpolated between the run's reports; per report there are at most ``most`` + 2.
+    grid's points (at most ``most`` + 2 a report) are rows, interpolated between the run's reports by one sort of the run;
+    what partitions the runs serves the sort and the regrouping.
     """
     t, lat, lon = F.col("time_position"), F.col("latitude"), F.col("longitude")
     rows = traj.where(t.isNotNull() & lat.isNotNull() & lon.isNotNull()).dropDuplicates(["segment_id", "time_position"])
@@ -59,45 +60,39 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
         "_end": F.max("time_position").over(run),
         "_prev_track": F.lag("true_track").over(run.orderBy("time_position")),
         "_prev_velocity": F.lag("velocity").over(run.orderBy("time_position")),
-        # the run's reports within reach of the grid, as one array per report
-        "_near": F.collect_list(F.struct("time_position", "_north", "_east")).over(run.orderBy("time_position").rangeBetween(-(most + 1) * step - int(gap), step + int(gap))),
     })
     ok = (t + step <= F.col("_end")) & (t - least * step >= F.col("run_start")) & F.col("velocity").isNotNull() & F.col("true_track").isNotNull()
-    rows = rows.where(ok).withColumn("context", F.least(F.lit(most), F.floor((t - F.col("run_start")) / step)).cast("int"))
-    # grid times: oldest first, the report itself, then one step ahead
-    grid = F.transform(F.sequence(-F.col("context"), F.lit(1)), lambda k: t + k * step)
-    rows = rows.withColumn("_brackets", F.transform(grid, lambda g: bracket(F.col("_near"), g)))
-    rows = rows.withColumn("_grid", F.transform("_brackets", lambda x: F.struct(between(x, "_north").alias("n"), between(x, "_east").alias("e"))))
+    own = ["velocity", "true_track", "baro_altitude", "vertical_rate", "_prev_track", "_prev_velocity", "_north", "_east", "context"]
+    origins = rows.where(ok).withColumn("context", F.least(F.lit(most), F.floor((t - F.col("run_start")) / step)).cast("int"))
+    # grid times: oldest first, the report itself (step 0, with all it knows), then one step ahead
+    asked = origins.select("segment_id", "run_no", F.col("time_position").alias("_origin"), F.struct(*own).alias("_all"), F.explode(F.sequence(-F.col("context"), F.lit(1))).alias("_k"))
+    asked = asked.select("segment_id", "run_no", "_origin", "_k", (F.col("_origin") + F.col("_k") * step).alias("_g"), F.when(F.col("_k") == 0, F.col("_all")).alias("_own"))
+    points = bracketed(rows.select("segment_id", "run_no", "time_position", "_north", "_east"), asked, ["segment_id", "run_no"], "time_position", ["_north", "_east"], "_g")
+    grid = F.array_sort(F.collect_list(F.struct("_k", F.col("_north").alias("n"), F.col("_east").alias("e"))))
+    out = points.groupBy("segment_id", "run_no", "_origin").agg(grid.alias("_grid"), F.first("_own", ignorenulls=True).alias("_own"))
+    out = out.select("segment_id", F.col("_origin").alias("time_position"), "_grid", "_own.*")
     moves = lambda axis: F.transform(F.slice("_grid", F.lit(2), F.size("_grid") - 2), lambda p, k: p[axis] - F.get("_grid", k)[axis])
-    rows = rows.withColumns({"move_n": moves("n"), "move_e": moves("e")})
+    out = out.withColumns({"move_n": moves("n"), "move_e": moves("e")})
     ahead = F.element_at("_grid", -1)
     dr_n, dr_e = geo.dead_reckoning(F.col("velocity"), F.col("true_track"), F.lit(step))
-    back = {f"move_{a}_t{-k}": F.element_at(f"move_{a}", -k) for k in (1, 2, 3) for a in ("n", "e")}
-    return rows.select(
-        "segment_id", "time_position", "context", "move_n", "move_e", *(v.alias(k.replace("_t-", "_t_minus_")) for k, v in back.items()),
+    back = {f"move_{a}_t_minus_{k}": F.element_at(f"move_{a}", -k) for k in (1, 2, 3) for a in ("n", "e")}
+    return out.select(
+        "segment_id", "time_position", "context", "move_n", "move_e", *(v.alias(k) for k, v in back.items()),
         "velocity", F.sin(F.radians("true_track")).alias("track_sin"), F.cos(F.radians("true_track")).alias("track_cos"), "baro_altitude", "vertical_rate",
         geo.fold_degrees(F.col("true_track") - F.col("_prev_track")).alias("heading_change_deg"), (F.col("velocity") - F.col("_prev_velocity")).alias("velocity_change_mps"),
         dr_n.alias("dr_north_m"), dr_e.alias("dr_east_m"), (ahead["n"] - F.col("_north")).alias("y_north_m"), (ahead["e"] - F.col("_east")).alias("y_east_m"),
     )
 
 
-def bracket(reports: Column, g: Column) -> Column:
-    """Time g with the last report up to it and the first from it on, of an ascending array."""
-    before = F.element_at(F.filter(reports, lambda r: r["time_position"] <= g), -1)
-    after = F.get(F.filter(reports, lambda r: r["time_position"] >= g), F.lit(0))
-    return F.struct(g.alias("g"), before.alias("a"), after.alias("b"))
-
-
-def between(x: Column, axis: str) -> Column:
-    """Interpolated value of a bracket; held beyond the first and last report."""
-    a, b = x["a"], x["b"]
-    line = geo.interpolated(x["g"], a["time_position"], a[axis], b["time_position"], b[axis])
-    return F.when(a[axis].isNull(), b[axis]).when(b[axis].isNull(), a[axis]).otherwise(line)
+def hashed(keys: list[str], seed: int) -> Column:
+    """32 bits of a digest of the keys as text: the same in any engine that has md5."""
+    text = F.concat_ws("/", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def group_split(df: DataFrame, group: str, train_pct: int = 80, seed: int = 42) -> DataFrame:
     """Add is_train; a group is never on both sides."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(group, F.lit(seed)), F.lit(100)) < train_pct)
+    return df.withColumn("is_train", hashed([group], seed) % 100 < train_pct)
 
 
 def group_overlap(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
@@ -107,7 +102,7 @@ def group_overlap(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
 
 def seeded_sample(df: DataFrame, keys: list[str], most: int, seed: int = 42) -> DataFrame:
     """At most ``most`` rows, the same for every run, in key order."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(most).orderBy(*keys)
+    return df.orderBy(hashed(keys, seed), *keys).limit(most).orderBy(*keys)
 
 
 def score_pending(pending: DataFrame, reports: DataFrame, as_of: Column, step: int = 10, giveup_s: int = 120) -> DataFrame:
@@ -123,10 +118,10 @@ def score_pending(pending: DataFrame, reports: DataFrame, as_of: Column, step: i
     both = asked.unionByName(seen, allowMissingColumns=True)
     whole = Window.partitionBy("icao24")
     up = whole.orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, 0)
-    down = whole.orderBy("_t", F.desc("_q")).rowsBetween(0, Window.unboundedFollowing)
+    down = whole.orderBy(F.desc("_t"), "_q").rowsBetween(Window.unboundedPreceding, 0)
     spans = both.withColumns({
         "_t0": F.min("_r.t").over(whole), "_t1": F.max("_r.t").over(whole),
-        "_a": F.last("_r", ignorenulls=True).over(up), "_b": F.first("_r", ignorenulls=True).over(down),
+        "_a": F.last("_r", ignorenulls=True).over(up), "_b": F.last("_r", ignorenulls=True).over(down),
     }).where("_q = 1")
     scored = (F.col("_t0") <= F.col("ti")) & (F.col("_t1") >= target)
     lat = geo.interpolated(target, F.col("_a.t"), F.col("_a.lat"), F.col("_b.t"), F.col("_b.lat"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from driftglass.functions.text import strict_date
@@ -40,14 +40,19 @@ def silver_date(spark: SparkSession, bronze: str, silver: str, markers: str, day
     return {"status": "success", "date": day, **quality}
 
 
-def gold_frames(silver: DataFrame, day: str, gap: float = 300) -> dict[str, DataFrame]:
-    """Trajectory, daily and hourly of one date from the silver rows of it and the day before.
+def owned_positions(silver: DataFrame, day: str) -> DataFrame:
+    """One row per position report of a date and the day before. The date of a position is that of its earliest snapshot."""
+    this = F.lit(day).cast("date")
+    return dedup.positions(silver.where(F.col("event_date").isin(F.date_sub(this, 1), this)))
+
+
+def gold_frames(owned: DataFrame, day: str, gap: float = 300) -> dict[str, DataFrame]:
+    """Trajectory, daily and hourly of one date from the positions of it and the day before.
 
     Segments are built over both dates and only then cut to the date's own rows, so a segment over midnight keeps one id
-    and its first row of the date keeps what precedes it. The date of a position is that of its earliest snapshot.
+    and its first row of the date keeps what precedes it.
     """
     this = F.lit(day).cast("date")
-    owned = dedup.positions(silver.where(F.col("event_date").isin(F.date_sub(this, 1), this)))
     traj = segments.trajectory(owned, gap).where(F.col("event_date") == this)
     today = owned.where(F.col("event_date") == this)
     return {
@@ -58,15 +63,20 @@ def gold_frames(silver: DataFrame, day: str, gap: float = 300) -> dict[str, Data
 
 
 def gold_date(spark: SparkSession, silver: str, gold: str, markers: str, day: str, version: str, gap: float = 300) -> dict:
-    """Build and replace the three gold partitions of a date, then mark it."""
+    """Build and replace the three gold partitions of a date, then mark it. Rows are counted as they are written."""
     before = (strict_date(day) - timedelta(days=1)).isoformat()
     rows = lake.read_table(spark, silver).where(F.col("event_date").isin(before, day))
-    if not rows.where(F.col("event_date") == day).limit(1).count():
-        return {"status": "empty", "date": day}
+    owned = owned_positions(rows, day).persist()
     counts = {}
-    for name, frame in gold_frames(rows, day, gap).items():
-        lake.write_partition(frame, f"{gold}/{name}", "event_date")
-        counts[name] = spark.read.parquet(f"{gold}/{name}").where(F.col("event_date") == day).count()
+    try:
+        if not owned.where(F.col("event_date") == day).limit(1).count() and not rows.where(F.col("event_date") == day).limit(1).count():
+            return {"status": "empty", "date": day}
+        for name, frame in gold_frames(owned, day, gap).items():
+            seen = Observation(name)
+            lake.write_partition(frame.observe(seen, F.count(F.lit(1)).alias("n")), f"{gold}/{name}", "event_date")
+            counts[name] = seen.get["n"]
+    finally:
+        owned.unpersist()
     lake.write_marker(spark, markers, day, counts["trajectory"], gold, version)
     return {"status": "success", "date": day, **counts}
 

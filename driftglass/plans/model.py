@@ -13,21 +13,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-FEATURES = ["velocity", "track_sin", "track_cos", "baro_altitude", "vertical_rate", "dr_north_m", "dr_east_m"]
+from driftglass.functions import geo
+from driftglass.operators import evaluate
+
+#: Inputs of the next-report model (fixed values).
+FEATURES = [
+    "latitude",
+    "longitude",
+    "baro_altitude",
+    "geo_altitude",
+    "velocity",
+    "track_sin",
+    "track_cos",
+    "vertical_rate",
+    "dt_s",
+    "calc_speed_mps",
+    "heading_change_deg",
+    "alt_change_m",
+    "velocity_change_mps",
+    "next_dt_s",
+    "dr_north_m",
+    "dr_east_m",
+]
+#: Inputs of the model of one step ahead on the grid.
+GRID_FEATURES = [
+    *(f"move_{a}_t_minus_{k}" for k in (1, 2, 3) for a in ("n", "e")),
+    "velocity",
+    "track_sin",
+    "track_cos",
+    "baro_altitude",
+    "vertical_rate",
+    "heading_change_deg",
+    "velocity_change_mps",
+    "dr_north_m",
+    "dr_east_m",
+]
+#: Rows below which a task isn't trained.
+LEAST_ROWS = {"next_report": 100, "compare_10s": 500}
 
 
 class TooFewRows(ValueError):
     pass
 
 
-def train(df: DataFrame, features: list[str] | None = None, least: int = 100, trees: int = 20, rate: float = 0.05, seed: int = 42) -> dict[str, PipelineModel]:
-    """Two boosted regressors, north and east, on the residual to dead reckoning. Below ``least`` rows there is none."""
+def train(df: DataFrame, features: list[str] | None = None, least: int | None = None, trees: int = 300, rate: float = 0.05, seed: int = 42, task: str = "next_report") -> dict[str, PipelineModel]:
+    """Two boosted regressors, north and east, on the residual to dead reckoning. Below ``least`` rows (by default the
+    task's) there is none."""
     features = features or FEATURES
+    least = LEAST_ROWS[task] if least is None else least
     if df.limit(least).count() < least:
-        raise TooFewRows(f"fewer than {least} rows")
+        raise TooFewRows(f"{task}: fewer than {least} rows")
     rows = df.fillna(0.0, features).withColumns({"north": F.col("y_north_m") - F.col("dr_north_m"), "east": F.col("y_east_m") - F.col("dr_east_m")})
+    rows = rows.select(*features, "north", "east").persist()  # each tree reads them
     assemble = VectorAssembler(inputCols=features, outputCol="x", handleInvalid="keep")
-    return {t: Pipeline(stages=[assemble, GBTRegressor(featuresCol="x", labelCol=t, predictionCol=f"p_{t}", maxIter=trees, stepSize=rate, maxDepth=4, seed=seed)]).fit(rows) for t in ("north", "east")}
+    try:
+        return {t: Pipeline(stages=[assemble, GBTRegressor(featuresCol="x", labelCol=t, predictionCol=f"p_{t}", maxIter=trees, stepSize=rate, maxDepth=4, seed=seed)]).fit(rows) for t in ("north", "east")}
+    finally:
+        rows.unpersist()
 
 
 def predict(models: dict[str, PipelineModel], df: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -38,6 +80,30 @@ def predict(models: dict[str, PipelineModel], df: DataFrame, features: list[str]
     return out
 
 
+def judged(candidate: dict[str, PipelineModel], champion: dict[str, PipelineModel] | None, test: DataFrame, threshold_m: float = 100.0, features: list[str] | None = None) -> DataFrame:
+    """One row: hit rates and medians of the candidate, dead reckoning and the champion, all on the same test rows, and the
+    gate's verdict. A champion that needs other inputs is not compared."""
+    err = lambda n, e: geo.euclidean_m(F.col(n) - F.col("y_north_m"), F.col(e) - F.col("y_east_m"))
+    rows = predict(candidate, test, features).withColumn("_model", err("north_m", "east_m")).withColumn("_base", err("dr_north_m", "dr_east_m")).drop("north_m", "east_m")
+    known = champion is not None
+    if known:
+        try:
+            rows = predict(champion, rows, features).withColumn("_champion", err("north_m", "east_m"))
+        except Exception as e:  # other inputs: the baseline alone decides
+            print(f"champion not comparable: {type(e).__name__}")
+            known = False
+    hit = lambda c: F.round(F.avg(F.when(F.col(c) <= threshold_m, 1.0).otherwise(0.0)) * 100, 1)
+    out = rows.agg(
+        F.count("*").alias("n"),
+        F.round(F.percentile("_model", F.lit(0.5)), 1).alias("model_p50"),
+        F.round(F.percentile("_base", F.lit(0.5)), 1).alias("baseline_p50"),
+        hit("_model").alias("model_hit_pct"),
+        hit("_base").alias("baseline_hit_pct"),
+        (hit("_champion") if known else F.lit(None).cast("double")).alias("champion_hit_pct"),
+    )
+    return out.withColumns(evaluate.gate(F.col("model_hit_pct"), F.col("baseline_hit_pct"), F.col("champion_hit_pct")))
+
+
 def as_table_function(df: DataFrame, model, columns: list[str]) -> DataFrame:
     """Any Python model with predict(pandas frame) -> two columns, applied by Arrow batches; columns go by name."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -58,7 +58,7 @@ def missing_ids(found: DataFrame, column: str = "batch_id") -> DataFrame:
     return span.select(F.explode(F.sequence("a", "b")).alias(column)).join(found.select(column), column, "left_anti")
 
 
-def admission(jobs: DataFrame, as_of: int, cooldown_s: int = 120, targets: tuple[str, ...] = ("next_report", "compare_10s", "all")) -> DataFrame:
+def admission(jobs: DataFrame, as_of: Column | int, cooldown_s: int = 120, targets: tuple[str, ...] = ("next_report", "compare_10s", "all")) -> DataFrame:
     """HTTP verdict for each asked target: 400 unknown, 409 a job or pipeline is running, 429 too soon, 202 accepted.
 
     ``jobs`` has asked, running, dag_running and last_start; a null dag_running (unreachable) doesn't block.
@@ -66,8 +66,17 @@ def admission(jobs: DataFrame, as_of: int, cooldown_s: int = 120, targets: tuple
     code = (
         F.when(~F.col("asked").isin(*targets), 400)
         .when(F.col("running") > 0, 409)
-        .when(F.col("last_start").isNotNull() & (F.lit(as_of) - F.col("last_start") < cooldown_s), 429)
+        .when(F.col("last_start").isNotNull() & ((F.lit(as_of) if isinstance(as_of, int) else as_of) - F.col("last_start") < cooldown_s), 429)
         .when(F.coalesce("dag_running", F.lit(0)) > 0, 409)
         .otherwise(202)
     )
     return jobs.withColumn("code", code.cast("long"))
+
+
+def admission_of_records(targets: DataFrame, records: DataFrame, as_of: Column | int, cooldown_s: int = 120) -> DataFrame:
+    """``admission`` with its counts taken from job records (target, state, started): running jobs of the target, queued
+    ones, and the last start."""
+    is_state = lambda s: F.count_if(F.col("state") == s)
+    found = records.groupBy(F.col("target").alias("asked")).agg(is_state("running").alias("running"), is_state("queued").alias("dag_running"), F.max("started").alias("last_start"))
+    jobs = targets.join(found, "asked", "left").fillna(0, ["running", "dag_running"])
+    return admission(jobs, as_of, cooldown_s).withColumnRenamed("dag_running", "queued")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RECORD = "run_id string, model string, version long, started timestamp, metrics map<string, double>, promoted boolean, reason string"
 
 
-def read_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """All run records below ``folder``; unreadable files and lines are skipped."""
-    rows = spark.read.schema(f"{RECORD}, _corrupt_record string").option("mode", "PERMISSIVE").option("ignoreMissingFiles", "true").option("multiLine", "true").json(folder)
+def read_runs(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
+    """All run records below ``folder``, one a file or, with ``lines``, one a line; what can't be read is skipped."""
+    rows = spark.read.schema(f"{RECORD}, _corrupt_record string").option("mode", "PERMISSIVE").option("ignoreMissingFiles", "true").option("multiLine", str(not lines).lower()).json(folder)
     return rows.where("run_id is not null").drop("_corrupt_record")
 
 
@@ -27,6 +27,11 @@ def export_report(runs: DataFrame, champion: DataFrame, most: int = 500) -> Data
     return rows.agg(F.to_json(F.struct(F.count("*").alias("n_runs"), one.alias("runs"))).alias("report"))
 
 
-def skipped_and_best(runs: DataFrame, metric: str) -> DataFrame:
-    """Runs ranked by a metric, best first; ties by start."""
-    return runs.select("run_id", "model", "version", F.get(F.map_values(F.map_filter("metrics", lambda k, v: k == metric)), F.lit(0)).alias("value"), "started").orderBy(F.asc_nulls_last("value"), "started", "run_id")
+def ranked(runs: DataFrame, metric: str) -> DataFrame:
+    """Runs by a metric, best (least) first, ties by start; runs without it come last. ``place`` counts from 1.
+
+    A row per run: the ranks need one sort, and a registry is small.
+    """
+    value = F.col("metrics")[metric]
+    rows = runs.select("run_id", "model", "version", value.alias("value"), "started")
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("value"), "started", "run_id"))).orderBy("place")

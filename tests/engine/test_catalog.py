@@ -53,7 +53,7 @@ def test_lake_queries_take_every_date(spark, con, name):
         assert {(r.first, r.again, r.same) for r in got} == {("merged", "skipped", True)} and sum(r.n_rows for r in got) == want[0]
 
 
-def test_all_sorted_dates_has_no_cap(spark, con):
-    got = [r.dt for r in catalog.queries()["all_sorted_dates"](spark, SF).collect()]
+def test_sorted_dates_has_no_cap(spark, con):
+    got = [r.dt for r in catalog.queries()["sorted_dates"](spark, SF).collect()]
     n = con.sql("SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders").fetchall()[0][0]
     assert len(got) == n > 500 and got == sorted(got)

@@ -208,6 +208,28 @@ def test_model_guards_and_table_function(spark):
     assert r.north_m == 2 * r.velocity
 
 
+def test_champion_is_scored_on_the_same_rows(spark):
+    rows = spark.range(150).select(*[(F.col("id") % (k + 3)).cast("double").alias(c) for k, c in enumerate([*model.FEATURES, "y_north_m", "y_east_m"])])
+    good, poor = model.train(rows, trees=5), model.train(rows.withColumn("y_north_m", F.lit(500.0)), trees=1)
+    first = model.judged(good, None, rows, 3.0).first()
+    assert first.n == 150 and first.champion_hit_pct is None and first.reason in ("first champion", "not above baseline")
+    same = model.judged(good, good, rows, 3.0).first()
+    assert same.champion_hit_pct == same.model_hit_pct and not same.promoted
+    assert model.judged(good, poor, rows, 3.0).first().champion_hit_pct != same.champion_hit_pct
+    other = model.train(rows.withColumn("extra", F.col("dr_north_m")), features=["extra", "dr_north_m", "dr_east_m"], trees=1)
+    assert model.judged(good, other, rows.drop("extra"), 3.0).first().champion_hit_pct is None
+    with pytest.raises(model.TooFewRows):
+        model.train(rows, trees=1, task="compare_10s")
+
+
+def test_gold_of_a_date_without_flights(spark, folder):
+    lake.append_cold(reports(spark, [(DAY + 5, DAY + 6)]).withColumn("on_ground", F.lit(True)), f"{folder}/bronze")
+    medallion.silver_date(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/m/s", "2024-01-01", "v1")
+    got = medallion.gold_date(spark, f"{folder}/silver", f"{folder}/gold", f"{folder}/m/g", "2024-01-01", "v1")
+    assert (got["status"], got["trajectory"], got["aircraft_daily"], got["traffic_hourly"]) == ("success", 0, 1, 1)
+    assert medallion.gold_date(spark, f"{folder}/silver", f"{folder}/gold", f"{folder}/m/g", "2024-01-02", "v1")["status"] == "empty"
+
+
 def test_daily_run_catches_up(spark, folder, capsys):
     from driftglass.__main__ import main
 
@@ -234,4 +256,4 @@ def test_report(spark, tmp_path):
     runs = r.read_runs(spark, f"file://{tmp_path}")
     body = json.loads(r.export_report(runs, spark.createDataFrame([("m", 1)], "model string, champion long")).first().report)
     assert body["n_runs"] == 3 and [x["run_id"] for x in body["runs"]] == ["r2", "r1", "r0"] and [x["is_champion"] for x in body["runs"]] == [False, True, False]
-    assert [x.run_id for x in r.skipped_and_best(runs, "p50").collect()] == ["r2", "r1", "r0"]
+    assert [x.run_id for x in r.ranked(runs, "p50").collect()] == ["r2", "r1", "r0"]
