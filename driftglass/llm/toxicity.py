@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text is the rates of its byte n-grams (A-Z lower-cased), occurrences a thousand n-grams; a text of under ``FLOOR``
-n-grams counts as one of FLOOR. For every n-gram, r is the log ratio of its smoothed document shares in toxic and other
+A text is the rates of its n-grams of 3 to 5 characters (lower-cased, blanks included, so that they see the edges of
+words), occurrences a thousand n-grams; a text of under ``FLOOR`` n-grams counts as one of FLOOR. For every n-gram, r is the log ratio of its smoothed document shares in toxic and other
 texts. A logistic regression is fitted on rates times r, on at most ``per_class`` labelled documents of either class; its
-weights times r are one small table by exact n-gram, shipped to every task. Whole texts are scored, long ones piece by
+weights times r are one small table by the n-grams' 64-bit hashes, shipped to every task. Whole texts are scored, long ones piece by
 piece; as rates don't grow with the text, its length alone moves no score.
 
 Defined cases: null and empty texts score by the intercept alone; without labels of both classes every score is the share
@@ -24,33 +24,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftglass.llm.blocks import mix
 from driftglass.llm.sample import labelled_sample, prior_shift
 from driftglass.llm.shared import batch, crc_remainder, drop_folder, keep, shared_dir, tidied
 
 ORDERS, PIECE, FLOOR, SLOT_BITS = (3, 4, 5), 1 << 18, 300, 20
 
 
-def _keys(raw: np.ndarray, n: int) -> np.ndarray:
-    """One number for each n-gram of a byte array, another one for another n-gram: multiplying by an odd number loses nothing."""
-    if len(raw) < n:
+def points_of(text: str | None) -> np.ndarray:
+    """Code points of a lower-cased text."""
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _keys(points: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of each run of n characters."""
+    if len(points) < n:
         return np.zeros(0, np.int64)
-    x = raw.astype(np.uint64)
-    word = np.zeros(len(raw) - n + 1, np.uint64)
+    x = points.astype(np.uint64)
+    word = np.full(len(x) - n + 1, n, np.uint64)
     for k in range(n):
-        word |= x[k : len(raw) - n + 1 + k] << np.uint64(8 * k)
-    return ((word + np.uint64(n << 56)) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+        word = word * np.uint64(0x9E3779B97F4A7C15) + x[k : len(x) - n + 1 + k]
+    return mix(word).view(np.int64)
 
 
-def gram_ids(raw: np.ndarray) -> np.ndarray:
-    """Keys of the n-grams of all ORDERS of a byte array, repeats included."""
-    return np.concatenate([_keys(raw, n) for n in ORDERS])
+def gram_ids(points: np.ndarray) -> np.ndarray:
+    """Keys of the n-grams of all ORDERS, repeats included."""
+    return np.concatenate([_keys(points, n) for n in ORDERS])
 
 
 def pieces(text: str | None) -> Iterator[np.ndarray]:
     """Keys of the n-grams of a whole text, each occurrence once, by stretches of the text."""
-    raw = np.frombuffer((text or "").encode().lower(), np.uint8)
-    for at in range(0, len(raw), PIECE):
-        yield np.concatenate([_keys(raw[at : at + PIECE + n - 1], n) for n in ORDERS])
+    points = points_of(text)
+    for at in range(0, len(points), PIECE):
+        yield np.concatenate([_keys(points[at : at + PIECE + n - 1], n) for n in ORDERS])
 
 
 def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:

@@ -23,28 +23,29 @@ SCHEMA = "doc_id long, text string, lang string, score int"
 def test_features_are_the_set_of_grams():
     rng = random.Random(0)
     text = "".join(rng.choice("abcé ") for _ in range(300))
-    raw = np.frombuffer(text.lower().encode(), np.uint8)
-    one = {int(toxicity.gram_ids(raw[k : k + n])[-1]) for n in toxicity.ORDERS for k in range(len(raw) - n + 1)}
+    points = toxicity.points_of(text)
+    one = {int(toxicity._keys(points[k : k + n], n)[0]) for n in toxicity.ORDERS for k in range(len(text) - n + 1)}
+    assert len(one) == len({text[k : k + n] for n in toxicity.ORDERS for k in range(len(text) - n + 1)})
     assert set(toxicity.features(text).tolist()) == one
     long = text * 1200
-    whole = np.unique(toxicity.gram_ids(np.frombuffer(long.encode(), np.uint8)))
+    whole = np.unique(toxicity.gram_ids(toxicity.points_of(long)))
     assert (toxicity.features(long) == whole).all()
 
 
 def grams_of(text):
-    """Byte n-grams of a lower-cased text with their counts, as (order, bytes)."""
-    raw = text.encode().lower()
-    return collections.Counter((n, raw[k : k + n]) for n in toxicity.ORDERS for k in range(len(raw) - n + 1))
+    """N-grams of a lower-cased text with their counts."""
+    x = text.lower()
+    return collections.Counter(x[k : k + n] for n in toxicity.ORDERS for k in range(len(x) - n + 1))
 
 
 def key_of(gram):
-    return int(toxicity._keys(np.frombuffer(gram[1], np.uint8), gram[0])[0])
+    return int(toxicity._keys(toxicity.points_of(gram), len(gram))[0])
 
 
 def test_toxicity_against_a_plain_version(spark):
     """Ratios, choice of grams, fit and scores of the whole query, held against dense arrays and Python counters."""
     rng = random.Random(5)
-    words = [["calm", "river", "stone", "bread", "glad"], ["bile", "scorn", "river", "stone", "filth"]]
+    words = [["calm", "river", "stöne", "bread", "glad"], ["bile", "scörn", "river", "Stöne", "filth"]]
     texts = {k: " ".join(rng.choice(words[k % 5 == 0]) for _ in range(rng.randrange(20, 90))) for k in range(150)}
     docs = spark.createDataFrame([*texts.items(), (900, None)], "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in texts if k % 7], "doc_id long, toxic int")
@@ -117,7 +118,7 @@ def test_long_clean_texts_stay_clean(labelled):
 def test_counts_over_pieces():
     text = "abcé" * 150_000 + "xyz"
     ids, counts = toxicity.counted(text)
-    whole, n = np.unique(toxicity.gram_ids(np.frombuffer(text.encode(), np.uint8)), return_counts=True)
+    whole, n = np.unique(toxicity.gram_ids(toxicity.points_of(text)), return_counts=True)
     assert (ids == whole).all() and (counts == n).all()
 
 
