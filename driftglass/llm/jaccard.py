@@ -235,7 +235,6 @@ def large_group_links(members: DataFrame, percent: int, folder: str, group: int)
 
     postings = keep(members.select("name", F.explode("marks").alias("mark")), f"{folder}/postings")
     heads = postings.groupBy("mark").agg(F.min("name").alias("head"), F.max("name").alias("last")).where("head < last")
-    # stored tables on either side of a join, so that a hot shingle's or head's partition can be split
     heads = keep(heads.select("mark", "head"), f"{folder}/heads")
     stars = keep(postings.join(heads, "mark").where("name != head").select("head", "name").distinct(), f"{folder}/stars")
     sizes = keep(stars.groupBy("head").agg(F.count("*").alias("n")), f"{folder}/star-sizes")
@@ -269,11 +268,14 @@ def link_sets(sets: DataFrame, percent: int, folder: str, group: int = 1000) ->
     ``sets`` below ``folder``, dropped when it is not needed any more."""
     postings = sets.select("name", F.explode("marks").alias("mark"))
     heads = postings.groupBy("mark").agg(F.min("name").alias("head"), F.max("name").alias("last")).where("head < last").drop("last")
+    # small sides are stored, so that either side of a join has an exchange of its own and a hot key's partition can be split
+    heads = keep(heads, f"{folder}/first-heads")
     near = postings.join(heads, "mark").where("name != head").select(F.col("name").alias("a"), F.col("head").alias("b")).distinct()
     groups = connected_components(near).select(F.col("v").alias("name"), F.col("label").alias("grp"))
-    sized = groups.join(groups.groupBy("grp").agg(F.count("*").alias("members")), "grp")
+    sizes = keep(groups.groupBy("grp").agg(F.count("*").alias("members")), f"{folder}/sizes")
+    sized = groups.join(sizes, "grp")
     members = keep(sets.select("name", "shingles", "marks").join(sized, "name"), f"{folder}/members")
-    drop_folder(sets.sparkSession, f"{folder}/sets")
+    drop_folder(sets.sparkSession, f"{folder}/sets", f"{folder}/first-heads", f"{folder}/sizes")
     links = small_group_links(members.where(F.col("members") <= group), percent, folder)
     large = members.where(F.col("members") > group)
     if large.limit(1).count():
