@@ -180,6 +180,18 @@ def reprocess_plan(spark, sf_dir):
     return planner.reprocess(b.withColumn("stage", F.when(F.col("pos") % 2 == 0, "silver").otherwise("gold")))
 
 
+_ASKED = "r AS (SELECT n AS pos, CASE WHEN n % 2 = 0 THEN 'silver' ELSE 'gold' END AS stage, dt FROM b WHERE n % 5 < 2)"
+
+
+@query(f"WITH {_DATES}, {_ASKED} SELECT stage, dt, pos FROM r WHERE NOT (stage = 'gold' AND dt IN (SELECT dt FROM b WHERE n % 3 = 0))")
+def reprocess_allowed(spark, sf_dir):
+    """Targets without the dates whose marker excludes them."""
+    dates, _, g = _dates(spark, sf_dir)
+    b = dates.withColumn("pos", F.dayofmonth(F.col("dt").cast("date")).cast("long")).where("pos % 5 < 2")
+    asked = b.withColumn("stage", F.when(F.col("pos") % 2 == 0, "silver").otherwise("gold"))
+    return planner.reprocess_allowed(asked, g.withColumn("stage", F.lit("gold"))).select("stage", "dt", "pos")
+
+
 @query("WITH f AS (SELECT DISTINCT event_id AS batch_id FROM events WHERE event_id % 7 <> 3), r AS (SELECT unnest(range((SELECT min(batch_id) FROM f), (SELECT max(batch_id) FROM f) + 1)) AS batch_id) SELECT batch_id FROM r WHERE batch_id NOT IN (SELECT batch_id FROM f)")
 def missing_batches(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 7 != 3")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftglass.catalog.states import GAP, duck, states
+from driftglass.catalog.states import GAP, RUN_GAP, duck, states
 from driftglass.catalog.telemetry import ORACLES as BATCH
 from driftglass.operators import dedup
 from driftglass.plans.store import work_folder
 from driftglass.sources.streams import file_stream, log_tail_watermark
-from driftglass.streaming import native, sinks
+from driftglass.streaming import native, serving, sinks
 from driftglass.streaming.progress import Reporter
 
 QUERIES: dict = {}
@@ -125,7 +125,7 @@ def stream_drain(spark, sf_dir):
     return spark.read.parquet(f"{folder}/cold").groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT CAST(3 AS BIGINT) AS batches, count(*) AS n_rows, CAST(0 AS BIGINT) AS skipped FROM states WHERE snap_epoch IS NOT NULL")
 def stream_progress(spark, sf_dir):
     """Rows and batches by the progress listener."""
     folder, reporter = work_folder(spark), Reporter()
@@ -141,3 +141,15 @@ def stream_progress(spark, sf_dir):
 @query("SELECT least(max(snap_epoch), 1705000000) AS watermark FROM states")
 def log_watermark(spark, sf_dir):
     return spark.createDataFrame([(log_tail_watermark(states(spark, sf_dir), 1_705_000_000, "snap_epoch"),)], "watermark long")
+
+
+@query()
+def serving_windows(spark, sf_dir):
+    """The serving loop over the feed's times, a cycle a day of it, with dead reckoning as the model: what each
+    closed window scored. Constants are scaled like the fixture's."""
+    folder, s = work_folder(spark), states(spark, sf_dir).where("snap_no = 0 and time_position is not null")
+    t0, t1 = s.agg(F.min("time_position"), F.max("time_position")).first()
+    loop = serving.Serving(spark, f"{folder}/serving", lambda: (1, serving.dead_reckoning_predictor), step=3600, giveup_s=86_400, fresh_s=86_400, context_s=3600, gap=RUN_GAP, window_s=172_800, lookback_s=604_800)
+    for now in range(int(t0) + 86_400, min(int(t1), int(t0) + 7 * 86_400), 86_400):
+        loop.cycle(s.where(F.col("time_position") <= now), now)
+    return loop.windows().select("window_start", "predictions", "scored", "unscorable", "model_p50_m", "baseline_p50_m")

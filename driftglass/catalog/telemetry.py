@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driftglass import schema
@@ -9,6 +11,8 @@ from driftglass.catalog.states import GAP, duck, states, with_clock
 from driftglass.functions import geo
 from driftglass.functions.dimensions import AIRLINES, COUNTRIES, rows_of, with_airline
 from driftglass.operators import aggregates, dedup, evaluate, live, merge, samples, segments
+from driftglass.plans import model
+from driftglass.sources import streams
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -334,6 +338,49 @@ def fleet_sort_pinned(spark, sf_dir):
     return live.ordered(latest(spark, sf_dir), "altitude", ["000003", "000007"]).select("icao24", "altitude")
 
 
+@query(f"""WITH {_LIVE} SELECT icao24, country, row_number() OVER (ORDER BY icao24 IN ('000002') DESC, country NULLS LAST, callsign NULLS LAST, icao24) AS place FROM live""")
+def fleet_sort_country(spark, sf_dir):
+    return placed(live.ordered(latest(spark, sf_dir), "country", ["000002"])).select("icao24", "country", "place")
+
+
+@query(f"""WITH {_LIVE} SELECT icao24, callsign, row_number() OVER (ORDER BY callsign NULLS LAST, icao24) AS place FROM live""")
+def fleet_sort_callsign(spark, sf_dir):
+    return placed(live.ordered(latest(spark, sf_dir), "callsign")).select("icao24", "callsign", "place")
+
+
+def placed(df):
+    """Rows numbered from 1 in the order they come in: the live set, a row per object."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(Window.orderBy("_at")).cast("long"))
+
+
+@query(f"WITH {_LIVE} SELECT icao24, CASE WHEN event_id % 2 = 0 THEN baro_altitude + 15 ELSE baro_altitude END AS altitude FROM live WHERE snap_epoch >= {AS_OF} - 86400")
+def display_altitude(spark, sf_dir):
+    """The geometric altitude where a report has one, else the barometric."""
+    rows = latest(spark, sf_dir).drop("altitude").withColumn("geo_altitude", F.when(F.col("event_id") % 2 == 0, F.col("baro_altitude") + 15))
+    return live.fresh(rows, F.lit(AS_OF), 86400, "snap_epoch").select("icao24", "altitude")
+
+
+@query("SELECT event_id, CAST(snap_no AS BIGINT) AS snap_no, icao24, callsign, on_ground, snap_epoch FROM states WHERE event_id % 13 <> 5 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM states WHERE event_id % 13 = 5")
+def message_roundtrip(spark, sf_dir):
+    """Rows through the message form of a log and back; a damaged message becomes a row of nulls."""
+    s = longs(states(spark, sf_dir), "snap_no").select("event_id", "snap_no", "icao24", "callsign", "on_ground", "snap_epoch")
+    damaged = F.get_json_object("value", "$.event_id").cast("long") % 13 == 5
+    log = streams.to_messages(s).withColumn("value", F.when(damaged, F.lit("{broken")).otherwise(F.col("value")).cast("binary"))
+    return streams.from_messages(log, s.schema)
+
+
+@query("SELECT event_id, CAST(snap_no AS BIGINT) AS snap_no, round(velocity * 2, 6) AS north_m, round(velocity + true_track, 6) AS east_m FROM states WHERE velocity IS NOT NULL")
+def table_function(spark, sf_dir):
+    """A Python model as a table function over Arrow batches; columns go by name, whatever their order."""
+    rows = longs(states(spark, sf_dir), "snap_no").where("velocity is not null").select("event_id", "snap_no", "true_track", "velocity")
+    return rounded(model.as_table_function(rows, _Toy(), ["velocity", "true_track"]), 6, "north_m", "east_m").select("event_id", "snap_no", "north_m", "east_m")
+
+
+class _Toy:
+    def predict(self, x):
+        return np.column_stack([2 * x["velocity"], x["velocity"] + x["true_track"]])
+
+
 @query(f"WITH {_LIVE} SELECT icao24 FROM live WHERE coalesce(on_ground, FALSE) = FALSE AND coalesce(country, 'Unknown') = 'NATION_3'")
 def airborne_in_country(spark, sf_dir):
     return live.in_country(live.airborne_only(latest(spark, sf_dir)), "NATION_3").select("icao24")

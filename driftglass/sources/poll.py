@@ -89,6 +89,22 @@ def http_fetch(url: str, box: tuple[float, float, float, float] = (33.0, 126.0,
     return fetch
 
 
+def file_sender(folder: str):
+    """A send function that records snapshots, one JSON file each, named by their time so that names sort like times.
+
+    A file is whole or not there; a snapshot sent again replaces itself. ``SnapshotSource`` replays the folder.
+    """
+    os.makedirs(folder, exist_ok=True)
+
+    def send(snapshot: int, vectors: list) -> None:
+        side = os.path.join(folder, f".{snapshot}.tmp")
+        with open(side, "w", encoding="utf-8") as f:
+            json.dump({"time": snapshot, "states": vectors}, f)
+        os.replace(side, os.path.join(folder, f"{snapshot:012d}.json"))
+
+    return send
+
+
 class SnapshotReader(SimpleDataSourceStreamReader):
     """Replays recorded snapshots (one JSON file each, in name order) as a stream of state vectors."""
 

@@ -148,6 +148,29 @@ def test_snapshot_source(spark, tmp_path):
     assert len(full) == 5 and full[0].callsign == "KAL123" and full[0].velocity == 250.0 and full[0].on_ground is False and full[0].position_source == 0
 
 
+def test_recorded_snapshots_are_replayed(spark, tmp_path):
+    from driftglass.sources import poll
+
+    folder = str(tmp_path / "rec")
+    bodies = iter([{"time": 20, "states": [["a", 1]]}, {"time": 20, "states": []}, {"time": 100, "states": [["b", None], ["c", 2.5]]}, {"time": 100, "states": None}])
+    send, mark, outcomes = poll.file_sender(folder), None, []
+    for _ in range(4):
+        what, mark, _ = poll.poll(lambda: next(bodies), send, mark)
+        outcomes.append(what)
+    assert outcomes == ["sent", "repeat", "sent", "repeat"] and mark == 100
+    spark.dataSource.register(SnapshotSource)
+    out = []
+    q = spark.readStream.format("snapshots").load(folder).writeStream.foreachBatch(lambda df, k: out.extend(df.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="0 seconds").start()
+    try:
+        for _ in range(100):
+            q.awaitTermination(0.2)
+            if len(out) == 3:
+                break
+    finally:
+        q.stop()
+    assert [(r.snapshot, r.vector) for r in out] == [(20, ["a", "1"]), (100, ["b", None]), (100, ["c", "2.5"])]
+
+
 def test_progress_gaps_and_skips(spark):
     rows = spark.createDataFrame([("r", 0), ("r", 1), ("r", 4), ("s", 7)], "run string, batch_id long")
     assert sorted(map(tuple, progress.gaps(rows).collect())) == [("r", 2), ("r", 3)]
