@@ -1,11 +1,12 @@
 import json
 import urllib.error
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftglass.plans import lake, medallion, model, planner
-from driftglass.plans.store import Store
+from driftglass.plans.store import Store, work_folder
 from driftglass.sources import poll
 
 BRONZE = "icao24 string, callsign string, origin_country string, time_position long, latitude double, longitude double, baro_altitude double, geo_altitude double, velocity double, true_track double, vertical_rate double, squawk string, on_ground boolean, timestamp timestamp, ingested_at timestamp"
@@ -104,6 +105,16 @@ def test_text_survives_a_crash_between_its_steps(spark, folder, crash):
     assert store.read_text(path) == "three" and not store.exists(f"{path}.next")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    def fake(master, base=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, other=None: base), sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(fake("spark://host:7077"))
+    assert work_folder(fake("yarn", "hdfs:///work")).startswith("hdfs:///work/driftglass-")
+    assert work_folder(fake("local[2]")).startswith("file://")
+
+
 def test_run_records_are_added(spark, folder):
     for status in ("failed", "success"):
         assert lake.append_run(spark, f"{folder}/runs", "silver", "2024-01-01", {"status": status})
