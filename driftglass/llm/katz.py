@@ -22,7 +22,7 @@ an empty table gives an empty result; a very long text is a block of its own, re
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -196,7 +196,8 @@ def word_counts(row: dict, pairs: Pairs, buckets: int) -> np.ndarray:
     return counts
 
 
-def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words) -> Iterator[pa.RecordBatch]:
+def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words, turn: int, turns: int) -> Iterator[pa.RecordBatch]:
+    """A row per bucket whose number leaves ``turn`` when divided by ``turns``."""
     for row in rows_of(batches):
         pairs = Pairs(Block(row))
         counts = word_counts(row, pairs, buckets)
@@ -210,8 +211,9 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], buckets: int, words: Words) ->
         ends = np.concatenate([[0], np.cumsum(pairs.group_size)])
         for g, h in zip(np.concatenate([[0], cuts]).tolist(), np.append(cuts, len(lens)).tolist(), strict=True):
             i, j = ends[g], ends[h]
-            held.append((int(pairs.group_bucket[g]), *(x[g:h].tobytes() for x in (vs, lens, hot)), *(x[i:j].tobytes() for x in (low, high)), *(pressed(x[i:j]) for x in (often, known))))
-            if len(held) == 128 or h == len(lens):
+            if pairs.group_bucket[g] % turns == turn:
+                held.append((int(pairs.group_bucket[g]), *(x[g:h].tobytes() for x in (vs, lens, hot)), *(x[i:j].tobytes() for x in (low, high)), *(pressed(x[i:j]) for x in (often, known))))
+            if len(held) == 128 or (held and h == len(lens)):
                 c = list(zip(*held, strict=True))
                 names = ("vs", "lens", "hot", "low", "high", "often", "known")
                 yield batch(bucket=pa.array(c[0], pa.int32()), block=pa.array([row["block"]] * len(held)), **{n: pa.array(x, pa.binary()) for n, x in zip(names, c[1:], strict=True)})
@@ -313,8 +315,11 @@ def _stats(told: DataFrame) -> tuple[int, int, list[int], int]:
     return row[0], row[1], list(row[3:]), row[2]
 
 
-def score_documents(docs: DataFrame, block_words: int = 1_250_000) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
+def score_documents(docs: DataFrame, block_words: int = 1_250_000, turns: int = 2) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
+
+    Pairs are asked in ``turns`` shares of the buckets, one after the other, so that only a share is shuffled at a time.
+    """
     folder, buckets = shared_dir(docs.sparkSession), bucket_count(docs)
     blocks = keep_bucketed(word_blocks(docs, crc_remainder("doc_id", 5), block_words), f"{folder}/blocks", "block")
 
@@ -327,8 +332,12 @@ def score_documents(docs: DataFrame, block_words: int = 1_250_000) -> DataFrame:
     words_told = told.where("kind = 'answer'").groupBy("block").agg(F.collect_list(F.struct("bucket", "counts")).alias("words_told"))
     known = blocks.join(words_told, "block")
 
-    asked = known.mapInArrow(tidied(partial(_ask_pairs, buckets=buckets, words=words)), ASKED_PAIRS)
-    told = keep(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(partial(_tell_pairs, words=words)), TABLE), f"{folder}/pairs", partition_by=["kind"])
+    shares = []
+    for turn in range(turns):
+        asked = known.mapInArrow(tidied(partial(_ask_pairs, buckets=buckets, words=words, turn=turn, turns=turns)), ASKED_PAIRS)
+        answered = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(partial(_tell_pairs, words=words)), TABLE)
+        shares.append(keep(answered, f"{folder}/pairs-{turn}", partition_by=["kind"]))
+    told = reduce(DataFrame.unionByName, shares)
     pair_discounts = discounts(_stats(told)[2])
     pairs_told = told.where("kind = 'answer'").groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "groups", "sums")).alias("pairs_told"))
     scored = known.join(pairs_told, "block").mapInArrow(tidied(partial(_score, buckets=buckets, words=words, pair_discounts=pair_discounts)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
