@@ -26,16 +26,19 @@ def bracketed(rows: DataFrame, asked: DataFrame, keys: list[str], t: str, values
     Union and sort instead of a range join: one exchange on the keys, no pairs. Other columns of ``asked`` are kept.
     """
     carried = [c for c in asked.columns if c not in (*keys, at)]
-    marked = rows.select(*keys, F.col(t).alias("_t"), *values, F.lit(0).alias("_q")).unionByName(asked.select(*keys, F.col(at).alias("_t"), *carried, F.lit(1).alias("_q")), allowMissingColumns=True)
-    # both frames grow from their first row, one in ascending and one in descending time
-    up = Window.partitionBy(*keys).orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy(*keys).orderBy(F.desc("_t"), "_q").rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col("_q") == 0, F.struct("_t", *values))
-    out = marked.withColumn("_a", F.last(known, ignorenulls=True).over(up)).withColumn("_b", F.last(known, ignorenulls=True).over(down)).where("_q = 1")
+    whole = Window.partitionBy(*keys)
+    report = F.struct(F.col(t).alias("_t"), *values)
+    known = rows.select(*keys, F.col(t).alias("_t"), report.alias("_r"), F.lead(report).over(whole.orderBy(t)).alias("_next"), F.lit(0).alias("_q"))
+    marked = known.unionByName(asked.select(*keys, F.col(at).alias("_t"), *carried, F.lit(1).alias("_q")), allowMissingColumns=True)
+    # one sort: a time's last report knows the one after it; before the first report there is only that
+    up = whole.orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, 0)
+    both = F.when(F.col("_q") == 0, F.struct(F.col("_r").alias("a"), F.coalesce("_next", "_r").alias("b")))
+    out = marked.withColumns({"_x": F.last(both, ignorenulls=True).over(up), "_first": F.min("_r").over(whole)}).where("_q = 1")
     for v in values:
-        lo, hi = F.col(f"_a.{v}"), F.col(f"_b.{v}")
-        line = geo.interpolated(F.col("_t"), F.col("_a._t"), lo, F.col("_b._t"), hi)
-        out = out.withColumn(v, F.when(lo.isNull(), hi).when(hi.isNull(), lo).otherwise(line))
+        a, b = F.col("_x.a"), F.col("_x.b")
+        line = geo.interpolated(F.col("_t"), a["_t"], a[v], b["_t"], b[v])
+        held = F.when(F.col("_x").isNull(), F.col("_first")[v]).when(a["_t"] == F.col("_t"), a[v])
+        out = out.withColumn(v, held.when(a[v].isNull(), b[v]).when(b[v].isNull(), a[v]).otherwise(line))
     return out.select(*keys, F.col("_t").alias(at), *values, *carried)
 
 
@@ -43,8 +46,8 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
     """One sample per report: displacements on a grid that ends at the report, and the position one step later.
 
     A report needs ``least`` steps of unbroken context behind it and a report at least one step ahead in its run. The
-    grid's points (at most ``most`` + 2 a report) are rows, interpolated between the run's reports by one sort of the run;
-    what partitions the runs serves the sort and the regrouping.
+    run's reports within reach are one array per report; each stretch between two of them gives the grid points in it, so
+    the work is that of the reports and points together (at most ``most`` + 2 points a report).
     """
     t, lat, lon = F.col("time_position"), F.col("latitude"), F.col("longitude")
     rows = traj.where(t.isNotNull() & lat.isNotNull() & lon.isNotNull()).dropDuplicates(["segment_id", "time_position"])
@@ -56,27 +59,33 @@ def grid_samples(traj: DataFrame, step: int = 10, gap: float = 30, least: int =
     rows = rows.withColumns({"_north": north, "_east": east})
     rows = gap_segments(rows, "segment_id", "time_position", gap, start="run_start", number="run_no")
     run = Window.partitionBy("segment_id", "run_no")
+    reach = run.orderBy("time_position").rangeBetween(-(most + 1) * step - int(gap), step + int(gap))
     rows = rows.withColumns({
         "_end": F.max("time_position").over(run),
         "_prev_track": F.lag("true_track").over(run.orderBy("time_position")),
         "_prev_velocity": F.lag("velocity").over(run.orderBy("time_position")),
+        "_near": F.collect_list(F.struct(t.alias("t"), F.col("_north").alias("n"), F.col("_east").alias("e"))).over(reach),
     })
     ok = (t + step <= F.col("_end")) & (t - least * step >= F.col("run_start")) & F.col("velocity").isNotNull() & F.col("true_track").isNotNull()
-    own = ["velocity", "true_track", "baro_altitude", "vertical_rate", "_prev_track", "_prev_velocity", "_north", "_east", "context"]
-    origins = rows.where(ok).withColumn("context", F.least(F.lit(most), F.floor((t - F.col("run_start")) / step)).cast("int"))
-    # grid times: oldest first, the report itself (step 0, with all it knows), then one step ahead
-    asked = origins.select("segment_id", "run_no", F.col("time_position").alias("_origin"), F.struct(*own).alias("_all"), F.explode(F.sequence(-F.col("context"), F.lit(1))).alias("_k"))
-    asked = asked.select("segment_id", "run_no", "_origin", "_k", (F.col("_origin") + F.col("_k") * step).alias("_g"), F.when(F.col("_k") == 0, F.col("_all")).alias("_own"))
-    points = bracketed(rows.select("segment_id", "run_no", "time_position", "_north", "_east"), asked, ["segment_id", "run_no"], "time_position", ["_north", "_east"], "_g")
-    grid = F.array_sort(F.collect_list(F.struct("_k", F.col("_north").alias("n"), F.col("_east").alias("e"))))
-    out = points.groupBy("segment_id", "run_no", "_origin").agg(grid.alias("_grid"), F.first("_own", ignorenulls=True).alias("_own"))
-    out = out.select("segment_id", F.col("_origin").alias("time_position"), "_grid", "_own.*")
+    rows = rows.where(ok).withColumn("context", F.least(F.lit(most), F.floor((t - F.col("run_start")) / step)).cast("int"))
+
+    def points(a: Column, place: Column) -> Column:
+        """Grid points from report ``a`` up to, and without, the one after it."""
+        b = F.get("_near", place + 1)
+        first = F.greatest(-F.col("context"), F.ceil((a["t"] - t) / step).cast("int"))
+        # the last report in reach has only the point on it
+        last = F.least(F.lit(1), F.when(b.isNull(), F.floor((a["t"] - t) / step)).otherwise(F.ceil((b["t"] - t) / step) - 1).cast("int"))
+        steps = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        at = lambda k, axis: F.coalesce(geo.interpolated(t + k * step, a["t"], a[axis], b["t"], b[axis]), a[axis])
+        return F.transform(steps, lambda k: F.struct(at(k, "n").alias("n"), at(k, "e").alias("e")))
+
+    rows = rows.withColumn("_grid", F.flatten(F.transform("_near", points)))  # oldest first, the report itself, one step ahead
     moves = lambda axis: F.transform(F.slice("_grid", F.lit(2), F.size("_grid") - 2), lambda p, k: p[axis] - F.get("_grid", k)[axis])
-    out = out.withColumns({"move_n": moves("n"), "move_e": moves("e")})
+    rows = rows.withColumns({"move_n": moves("n"), "move_e": moves("e")})
     ahead = F.element_at("_grid", -1)
     dr_n, dr_e = geo.dead_reckoning(F.col("velocity"), F.col("true_track"), F.lit(step))
     back = {f"move_{a}_t_minus_{k}": F.element_at(f"move_{a}", -k) for k in (1, 2, 3) for a in ("n", "e")}
-    return out.select(
+    return rows.select(
         "segment_id", "time_position", "context", "move_n", "move_e", *(v.alias(k) for k, v in back.items()),
         "velocity", F.sin(F.radians("true_track")).alias("track_sin"), F.cos(F.radians("true_track")).alias("track_cos"), "baro_altitude", "vertical_rate",
         geo.fold_degrees(F.col("true_track") - F.col("_prev_track")).alias("heading_change_deg"), (F.col("velocity") - F.col("_prev_velocity")).alias("velocity_change_mps"),
