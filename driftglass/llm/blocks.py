@@ -74,7 +74,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         yield _block(docs, folds, parts, ends, number)
 
 
-def word_blocks(docs: DataFrame, fold=None, words: int = 1_500_000) -> DataFrame:
+def word_blocks(docs: DataFrame, fold=None, words: int = 1_000_000) -> DataFrame:
     """Blocks of ``docs`` (doc_id, text) with an optional integer column expression per document. Store before use."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None) if fold is None else fold).cast("long").alias("fold"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(tidied(partial(_blocks, words=words)), BLOCK)

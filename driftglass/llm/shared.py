@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/driftglass-{uuid.uuid4().hex}"
 
 
+#: Bytes of a row group of stage tables: a task that writes buffers one, and rows of some megabytes are many of its kind.
+ROW_GROUP = 32 << 20
 #: Settings of the writes of stage tables: their shuffle files go when the write ends, and Python workers get small batches.
 WRITE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
@@ -49,7 +51,7 @@ def _stage_write(spark: SparkSession) -> Iterator[None]:
 
 def keep(df: DataFrame, path: str, codec: str = "zstd", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back: lineage ends at files that survive lost executors."""
-    writer = df.write.mode("overwrite").option("compression", codec)
+    writer = df.write.mode("overwrite").option("compression", codec).option("parquet.block.size", str(ROW_GROUP))
     with _stage_write(df.sparkSession):
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -64,7 +66,7 @@ def keep_bucketed(df: DataFrame, path: str, *keys: str) -> DataFrame:
     spark, name = df.sparkSession, _table_name(path)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     with _stage_write(spark):
-        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+        df.write.format("parquet").option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP)).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 
