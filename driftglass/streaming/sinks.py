@@ -175,15 +175,19 @@ class Retention:
 
 
 class ColdSink:
-    """All valid rows by date. A replayed batch overwrites its own folder, so each batch is there once."""
+    """All valid rows by date. A replayed batch overwrites its own folder, so each batch is there once.
 
-    def __init__(self, folder: str, snapshot: str = "timestamp"):
-        self.folder, self.snapshot = folder, snapshot
+    A batch is written by at most ``files`` tasks, so a date gets so many files of it: one for a batch that a rate limit
+    keeps small.
+    """
+
+    def __init__(self, folder: str, snapshot: str = "timestamp", files: int = 1):
+        self.folder, self.snapshot, self.files = folder, snapshot, files
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         rows = schema.cold_rows(schema.flag_valid(batch, self.snapshot))
         at = F.col(self.snapshot) if dict(rows.dtypes)[self.snapshot].startswith("timestamp") else F.timestamp_seconds(self.snapshot)
-        rows.withColumn("dt", F.date_format(at, "yyyy-MM-dd")).coalesce(1).write.mode("overwrite").partitionBy("dt").parquet(f"{self.folder}/batch={batch_id}")
+        rows.withColumn("dt", F.date_format(at, "yyyy-MM-dd")).coalesce(self.files).write.mode("overwrite").partitionBy("dt").parquet(f"{self.folder}/batch={batch_id}")
 
 
 def start(source: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
