@@ -28,7 +28,7 @@ from driftglass.llm.blocks import mix
 from driftglass.llm.sample import labelled_sample, prior_shift
 from driftglass.llm.shared import batch, crc_remainder, drop_folder, keep, shared_dir, tidied
 
-ORDERS, PIECE, FLOOR, SLOT_BITS = (3, 4, 5), 1 << 18, 300, 20
+ORDERS, PIECE, FLOOR, SLOT_BITS, FEW = (3, 4, 5), 1 << 18, 300, 20, 128
 
 
 def points_of(text: str | None) -> np.ndarray:
@@ -122,9 +122,11 @@ class Model:
 
 
 def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = [counted(t.as_py()) for t in b.column(0)]
-        yield batch(ids=pa.array([i.tobytes() for i, _ in rows], pa.binary()), counts=pa.array([n.astype(np.int32).tobytes() for _, n in rows], pa.binary()), label=b.column(1))
+    for whole in batches:
+        for at in range(0, whole.num_rows, FEW):  # a document's n-grams take some 60 kB
+            b = whole.slice(at, FEW)
+            rows = [counted(t.as_py()) for t in b.column(0)]
+            yield batch(ids=pa.array([i.tobytes() for i, _ in rows], pa.binary()), counts=pa.array([n.astype(np.int32).tobytes() for _, n in rows], pa.binary()), label=b.column(1))
 
 
 def _documents_with(ids: list[np.ndarray], labels: list[int]) -> pa.RecordBatch:
@@ -162,7 +164,7 @@ def telling_grams(features: DataFrame, n0: int, n1: int, least: int = 3, deviati
 
 def _keep_telling(batches: Iterator[pa.RecordBatch], telling: np.ndarray) -> Iterator[pa.RecordBatch]:
     lookup = Lookup(telling)
-    for b in batches:
+    for b in (whole.slice(at, FEW) for whole in batches for at in range(0, whole.num_rows, FEW)):
         places, rates = [], []
         for ids, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             n = np.frombuffer(counts, np.int32)
