@@ -31,28 +31,6 @@ def test_other_queries_run(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
 
 
-def test_compaction_query(spark):
-    for r in catalog.queries()["compaction_roundtrip"](spark, SF).collect():
-        assert r.same and (r.first, r.again, r.files_after) == ("merged", "skipped", 1)
-
-
-def test_medallion_query(spark):
-    for r in catalog.queries()["medallion_run"](spark, SF).collect():
-        assert (r.silver, r.gold, r.marked) == ("success", "success", True)
-
-
-@pytest.mark.parametrize("name", ["compaction_roundtrip", "medallion_run"])
-def test_lake_queries_take_every_date(spark, con, name):
-    dates = catalog.oracles()["date_list"]
-    want = con.sql(dates).fetchall()[0]
-    got = catalog.queries()[name](spark, SF).collect()
-    assert ",".join(sorted(r.dt for r in got)) == want[1]
-    if name == "medallion_run":
-        assert {(r.silver, r.gold, r.marked) for r in got} == {("success", "success", True)}
-    else:
-        assert {(r.first, r.again, r.same) for r in got} == {("merged", "skipped", True)} and sum(r.n_rows for r in got) == want[0]
-
-
 def test_sorted_dates_has_no_cap(spark, con):
     got = [r.dt for r in catalog.queries()["sorted_dates"](spark, SF).collect()]
     n = con.sql("SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders").fetchall()[0][0]
