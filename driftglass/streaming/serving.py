@@ -62,9 +62,9 @@ class Serving:
             return {"status": "waiting_for_champion"}
         p = self.pointer()
         k, window = p["cycle"] + 1, now // self.window_s * self.window_s
-        closed = None
+        closed, done = None, []
         if p["window"] is not None and window > p["window"]:
-            closed = self._close(p)
+            closed, done = self._close(p), p["parts"]
             self.reload()
             p = {**p, "parts": []}
         version, predictor = self.current
@@ -87,7 +87,8 @@ class Serving:
             runs.unpersist()
         new = {"cycle": k, "window": window, "parts": [*p["parts"], part], "pending": f"{self.folder}/pending/{k}", "last": f"{self.folder}/last/{k}", "version": version}
         self.store.write_json(f"{self.folder}/pointer.json", new)
-        for old in (p["pending"], p["last"]):
+        # only now: a cycle that was killed before reads them again
+        for old in (p["pending"], p["last"], *done):
             if old:
                 self.store.delete(old)
         counts = {r.state: r["count"] for r in scored.groupBy("state").count().collect()}  # three rows
@@ -100,8 +101,6 @@ class Serving:
         summary.withColumn("version", F.lit(p["version"]).cast("long")).write.mode("overwrite").parquet(f"{self.folder}/windows/start={p['window']}")
         medians = evaluate.window_medians(done, "_window", self.window_s, ["velocity", "baro_altitude"])
         medians.write.mode("overwrite").parquet(f"{self.folder}/medians/start={p['window']}")
-        for part in p["parts"]:
-            self.store.delete(part)
         return p["window"]
 
     def windows(self) -> DataFrame:
