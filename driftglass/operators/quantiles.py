@@ -2,7 +2,7 @@
 
 Up to ``few`` rows the built-in exact percentile does it: its last step holds the distinct values of a group in one task.
 Beyond, values are counted, range-partitioned by (group, value) and ranked by the counts of the partitions before them, so
-no task holds more than its range. Both give the same numbers: linear interpolation between the neighbouring ranks.
+no task holds more than its range. Both give the same numbers (a zero has no sign): linear interpolation between the neighbouring ranks.
 """
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ def ranked_quantiles(df: DataFrame, by: list[str], shares: list[float]) -> DataF
     # a share lies between two ranks (from 0); a partition matters if it holds one of them
     parts = parts.withColumn("_ranks", F.flatten(F.transform(wanted, lambda s: F.array(F.floor(s * (F.col("_total") - 1)), F.ceil(s * (F.col("_total") - 1))))))
     parts = parts.withColumn("_ranks", F.filter("_ranks", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))).where("size(_ranks) > 0")
-    same = [stored[c].eqNullSafe(parts[c]) for c in [*by, "_part"]]
-    near = stored.join(F.broadcast(parts), same).select(*(stored[c] for c in [*by, "_part", "_v", "_c"]), "_before", "_total", "_ranks")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*by, "_part"]]
+    near = stored.alias("s").join(F.broadcast(parts).alias("p"), same).select(*(f"s.{c}" for c in [*by, "_part", "_v", "_c"]), "p._before", "p._total", "p._ranks")
     inside = Window.partitionBy(*by, "_part").orderBy("_v")
     near = near.withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
     hits = near.withColumn("_rank", F.explode(F.array_distinct(F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_c"))))))
