@@ -120,10 +120,17 @@ class Language:
         self.weight = float(np.log2(max(2, len(codes))))
 
     def codes(self, points: np.ndarray) -> np.ndarray:
-        names, at = np.unique(points, return_inverse=True)  # few distinct characters, many of each
+        """Classes by a table over the code points that occur: few, with many of each."""
+        if not len(points):
+            return np.zeros(0, np.int32)
+        there = np.zeros(int(points.max()) + 1, bool)
+        there[points] = True
+        names = np.flatnonzero(there)
         own = np.minimum(np.searchsorted(self.letters, names), max(0, len(self.letters) - 1))
         known = self.letters[own] == names if len(self.letters) else np.zeros(len(names), bool)
-        return np.where(known, own + 2, letter_flags()[names].astype(np.int64)).astype(np.int32)[at]
+        table = np.zeros(len(there), np.int32)
+        table[names] = np.where(known, own + 2, letter_flags()[names])
+        return table[points]
 
     def phrases(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Phrases of every text of ``codes``, texts one after another up to ``ends``."""
