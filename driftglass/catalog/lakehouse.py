@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driftglass.catalog.states import GAP, duck, states, with_clock
@@ -397,12 +398,18 @@ _RUNS = """SELECT user_id AS k, min(event_id) AS s, count(*) AS n, max(value) >
 
 
 def _runs(spark, sf_dir):
-    """One run record per user of the events, as JSON files, read back."""
+    """One run record per user of the events, as JSON files, read back.
+
+    Values are added in the order of event_id, whatever the partitions, and the mean is rounded as SQL does: many means
+    lie halfway between two roundings, where the last bit decides.
+    """
     folder = f"{work_folder(spark)}/runs"
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    per = e.groupBy(F.col("user_id").alias("k")).agg(F.min("event_id").alias("s"), F.count("*").alias("n"), (F.max("value") > 150).alias("promoted"), F.round(F.avg("value"), 4).alias("p50"))
+    so_far = Window.partitionBy("user_id").orderBy("event_id", "value").rowsBetween(Window.unboundedPreceding, 0)
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "value").withColumns({"_nth": F.row_number().over(so_far), "_sum": F.sum("value").over(so_far)})
+    mean = F.max_by("_sum", "_nth") / F.count("value")
+    per = e.groupBy(F.col("user_id").alias("k")).agg(F.min("event_id").alias("s"), F.count("*").alias("n"), (F.max("value") > 150).alias("promoted"), (F.round(mean * 10_000, 0) / 10_000).alias("p50"))
     rows = per.select(
-        F.format_string("r%06d", "k").alias("run_id"), F.when(F.col("k") % 2 == 0, "next_report").otherwise("compare_10s").alias("model"), F.col("k").alias("version"),
+        F.format_string("r%s", F.lpad(F.col("k").cast("string"), 6, "0")).alias("run_id"), F.when(F.col("k") % 2 == 0, "next_report").otherwise("compare_10s").alias("model"), F.col("k").alias("version"),
         F.timestamp_seconds(F.col("s") * 60).alias("started"), F.create_map(F.lit("p50"), F.col("p50"), F.lit("n"), F.col("n").cast("double")).alias("metrics"), "promoted", F.lit("x").alias("reason"),
     )
     rows.write.json(folder)

@@ -28,10 +28,10 @@ def export_report(runs: DataFrame, champion: DataFrame, most: int = 500) -> Data
 
 
 def ranked(runs: DataFrame, metric: str) -> DataFrame:
-    """Runs by a metric, best (least) first, ties by start; runs without it come last. ``place`` counts from 1.
+    """Runs by a metric, best (least) first, ties by start, then version; runs without it come last. ``place`` counts from 1.
 
     A row per run: the ranks need one sort, and a registry is small.
     """
     value = F.col("metrics")[metric]
     rows = runs.select("run_id", "model", "version", value.alias("value"), "started")
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("value"), "started", "run_id"))).orderBy("place")
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("value"), "started", "version", "run_id"))).orderBy("place")
