@@ -269,7 +269,7 @@ def _bronze(spark, sf_dir, folder, parts: int = 3):
         "ingested_at": F.col("timestamp"), "squawk": F.lit(None).cast("string"), "geo_altitude": F.col("baro_altitude"), "dt": F.date_format(F.timestamp_seconds("snap_epoch"), "yyyy-MM-dd"),
     })
     for k in range(parts):
-        s.where(F.pmod("event_id", F.lit(parts)) == k).coalesce(1).write.mode("append").partitionBy("dt").parquet(f"{folder}/bronze")
+        s.where(F.pmod("event_id", F.lit(parts)) == k).repartition("dt").write.mode("append").partitionBy("dt").parquet(f"{folder}/bronze")
     return f"{folder}/bronze"
 
 
@@ -343,8 +343,8 @@ def medallion_run(spark, sf_dir):
     folder = work_folder(spark)
     bronze = _bronze(spark, sf_dir, folder, 2)
     days = sorted(lake.dates_under(spark, bronze))
-    silver, _ = medallion.run_dates(lambda d: medallion.silver_date(spark, bronze, f"{folder}/silver", f"{folder}/m/silver", d, "v1"), days)
-    gold, _ = medallion.run_dates(lambda d: medallion.gold_date(spark, f"{folder}/silver", f"{folder}/gold", f"{folder}/m/gold", d, "v1", GAP), days)
+    silver, _ = medallion.run_batches(lambda d: medallion.silver_dates(spark, bronze, f"{folder}/silver", f"{folder}/m/silver", d, "v1"), lake.date_batches(spark, bronze, "dt", days))
+    gold, _ = medallion.run_batches(lambda d: medallion.gold_dates(spark, f"{folder}/silver", f"{folder}/gold", f"{folder}/m/gold", d, "v1", GAP), lake.date_batches(spark, f"{folder}/silver", "event_date", days))
     done = lake.completed_dates(spark, f"{folder}/m/gold")
     rows = [(d, s["status"], s.get("n_rows"), g["status"], g.get("trajectory"), g.get("aircraft_daily"), g.get("traffic_hourly"), d in done) for d, s, g in zip(days, silver, gold, strict=True)]
     return spark.createDataFrame(rows, "dt string, silver string, silver_rows long, gold string, trajectory long, aircraft_daily long, traffic_hourly long, marked boolean")

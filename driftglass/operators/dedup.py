@@ -27,15 +27,15 @@ def newest(df: DataFrame, keys: list, keep: int, order: list) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= keep).drop("_nth")
 
 
-def snapshot_rows(df: DataFrame, key: str = "icao24", snapshot: str = "timestamp", received: str = "ingested_at") -> DataFrame:
-    """One row per (key, snapshot): the first received, then the least in full-row order. Null keys are kept, one each."""
-    rest = [c for c in df.columns if c not in (key, snapshot, received)]
-    return first_per(df, [key, snapshot], [received, *rest])
+def snapshot_rows(df: DataFrame, key: str = "icao24", snapshot: str = "timestamp", received: str = "ingested_at", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (key, snapshot): the first received, then the least in full-row order. Null keys are kept, one each. ``by``: one for each of these."""
+    rest = [c for c in df.columns if c not in (key, snapshot, received, *by)]
+    return first_per(df, [*by, key, snapshot], [received, *rest])
 
 
-def positions(df: DataFrame, key: str = "icao24", event: str = "time_position", order: list | None = None) -> DataFrame:
+def positions(df: DataFrame, key: str = "icao24", event: str = "time_position", order: list | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per position report: the earliest snapshot of each (key, event time); without event time there is none."""
-    return first_per(df.where(F.col(event).isNotNull()), [key, event], order or ["timestamp"])
+    return first_per(df.where(F.col(event).isNotNull()), [*by, key, event], order or ["timestamp"])
 
 
 def changes_only(df: DataFrame, keys: list, order: list, values: list[str]) -> DataFrame:

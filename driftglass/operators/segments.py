@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from driftglass.functions import geo
 
 
-def gap_segments(df: DataFrame, key: str, t: str, gap: float, ties: list | None = None, start: str = "seg_start", number: str = "seg_no") -> DataFrame:
+def gap_segments(df: DataFrame, key: str, t: str, gap: float, ties: list | None = None, start: str = "seg_start", number: str = "seg_no", span: tuple[str, ...] = ()) -> DataFrame:
     """Add the number and start of the segment: a new one begins after more than ``gap`` (exactly ``gap`` stays).
 
     Both windows partition by ``key`` (the second by a superset), so one exchange serves them and whatever follows by
-    (key, start). ``df`` should hold a bounded time span per key: the daily plan reads two dates.
+    (key, start). ``df`` should hold a bounded time span per key: the daily plan reads two dates. Rows that differ in a
+    column of ``span`` don't see each other.
     """
     order = [t, *(ties or [])]
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(*span, key).orderBy(*order)
     before = F.lag(t).over(w)
     df = df.withColumn("_new", F.when(before.isNull() | ((F.col(t) - before) > gap), 1).otherwise(0))
     df = df.withColumn(number, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_new")
-    return df.withColumn(start, F.min(t).over(Window.partitionBy(key, number)))
+    return df.withColumn(start, F.min(t).over(Window.partitionBy(*span, key, number)))
 
 
 def segment_id(key: Column, start: Column) -> Column:
@@ -40,15 +41,15 @@ LAGS = ["time_position", "latitude", "longitude", "true_track", "baro_altitude",
 LEADS = ["time_position", "latitude", "longitude", "baro_altitude"]
 
 
-def trajectory(positions: DataFrame, gap: float = 300, fastest: float = 340.0, ties: list | None = None) -> DataFrame:
+def trajectory(positions: DataFrame, gap: float = 300, fastest: float = 340.0, ties: list | None = None, span: tuple[str, ...] = ()) -> DataFrame:
     """Flying positions in segments, with what changed since the previous report and where the next one is.
 
     Null keys belong to no object and are left out. The partition is (key, segment start), not the text id: the one hash
     exchange on the key serves every window.
     """
     air = positions.where(airborne(F.col("on_ground")) & F.col("icao24").isNotNull())
-    seg = gap_segments(air, "icao24", "time_position", gap, ties)
-    s = Window.partitionBy("icao24", "seg_no").orderBy("time_position", *(ties or []))
+    seg = gap_segments(air, "icao24", "time_position", gap, ties, span=span)
+    s = Window.partitionBy(*span, "icao24", "seg_no").orderBy("time_position", *(ties or []))
     seg = seg.withColumns({f"prev_{c}": F.lag(c).over(s) for c in LAGS} | {f"next_{c}": F.lead(c).over(s) for c in LEADS} | {"point_idx": (F.row_number().over(s) - 1).cast("long")})
     dt = F.col("time_position") - F.col("prev_time_position")
     seg = seg.withColumns({

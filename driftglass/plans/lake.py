@@ -56,6 +56,24 @@ def read_date(spark: SparkSession, path: str, day: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(folder)
 
 
+def read_dates(spark: SparkSession, path: str, days: list[str]) -> DataFrame:
+    """The folders of several dates with their date as dt (a date)."""
+    rows = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*(f"{path}/dt={d}" for d in days))
+    return rows.withColumn("dt", F.col("dt").cast("date"))
+
+
+def date_batches(spark: SparkSession, path: str, key: str, days: list[str], most_bytes: int = 1 << 30, most_dates: int = 31) -> list[list[str]]:
+    """The dates in order, as many at once as have few bytes together; a large date goes by itself."""
+    out, held = [], 0
+    for d in days:
+        size = sum(f.size for f in data_files(spark, f"{path}/{key}={d}"))
+        if not out or held + size > most_bytes or len(out[-1]) == most_dates:
+            out, held = [*out, []], 0
+        out[-1].append(d)
+        held += size
+    return out
+
+
 def dates_under(spark: SparkSession, path: str) -> set[str]:
     """Dates with a folder; names that aren't dates are skipped."""
     out = set()

@@ -268,3 +268,38 @@ def test_report(spark, tmp_path):
     body = json.loads(r.export_report(runs, spark.createDataFrame([("m", 1)], "model string, champion long")).first().report)
     assert body["n_runs"] == 3 and [x["run_id"] for x in body["runs"]] == ["r2", "r1", "r0"] and [x["is_champion"] for x in body["runs"]] == [False, True, False]
     assert [x.run_id for x in r.ranked(runs, "p50").collect()] == ["r2", "r1", "r0"]
+
+
+def test_batches_of_dates_equal_single_dates(spark, folder):
+    """Three dates at once give what they give one by one; a date without folder, with a foreign row or without rows stands alone."""
+    from driftglass.catalog import lakehouse
+
+    bronze = lakehouse._bronze(spark, "/root/testdata/sf0.001", folder, 2)
+    days = ["2024-01-03", "2024-01-04", "2024-01-05"]
+    lake.read_date(spark, bronze, "2024-01-05").write.parquet(f"{bronze}/dt=2024-02-01")
+    lake.read_date(spark, bronze, "2024-01-05").where("false").write.parquet(f"{bronze}/dt=2024-02-02")
+    for day in days:
+        medallion.silver_date(spark, bronze, f"{folder}/s1", f"{folder}/m1", day, "v1")
+    one = [medallion.gold_date(spark, f"{folder}/s1", f"{folder}/g1", f"{folder}/m1", day, "v1", 21_600) for day in days]
+    others = ["2024-02-01", "2024-02-02", "2030-01-01"]
+    silver, code = medallion.run_batches(lambda d: medallion.silver_dates(spark, bronze, f"{folder}/s2", f"{folder}/m2", d, "v1"), [days + others])
+    assert [r["status"] for r in silver] == ["success"] * 3 + ["failed", "empty", "failed"] and code == 1
+    assert "DateMismatch" in silver[3]["error"] and "FileNotFoundError" in silver[5]["error"] and lake.completed_dates(spark, f"{folder}/m2") == set(days)
+    gold, code = medallion.run_batches(lambda d: medallion.gold_dates(spark, f"{folder}/s2", f"{folder}/g2", f"{folder}/m2", d, "v1", 21_600), [days + others])
+    assert gold[:3] == one and [r["status"] for r in gold[3:]] == ["empty"] * 3 and code == 0
+    for a, b in [("s1", "s2")] + [(f"g1/{t}", f"g2/{t}") for t in ("trajectory", "aircraft_daily", "traffic_hourly")]:
+        a, b = lake.read_table(spark, f"{folder}/{a}"), lake.read_table(spark, f"{folder}/{b}")
+        assert sorted(a.columns) == sorted(b.columns)
+        assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect()))
+
+
+def test_medallion_run_takes_few_jobs(spark):
+    """Thirty dates: jobs by the batch, not by the date."""
+    from driftglass.catalog import lakehouse
+
+    spark.sparkContext.setJobGroup("medallion", "")
+    try:
+        assert len(lakehouse.medallion_run(spark, "/root/testdata/sf0.001").collect()) == 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("medallion")) < 60
