@@ -9,6 +9,9 @@ piece; as rates don't grow with the text, its length alone moves no score.
 Defined cases: null and empty texts score by the intercept alone; without labels of both classes every score is the share
 of toxic labels (0 without any); repeated rows are scored each; a null doc_id is in neither fold (held_out is null);
 extra columns are not read; an empty table gives an empty result; ``reject`` keeps every column as it is.
+
+Whole rows go through the workers of ``reject``, so it stores what it keeps: a caller's write would send them in batches of
+the session's size, 10,000 rows by default, each held several times by the executor and the worker at once.
 """
 
 from __future__ import annotations
@@ -243,10 +246,11 @@ def predict(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> DataFr
 
 
 def _reject(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (whole.slice(first, FEW) for whole in batches for first in range(0, whole.num_rows, FEW)):
         yield b.filter(pa.array([model.score(t.as_py()) < 0.5 for t in b.column(at)], pa.bool_()))
 
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model doesn't predict toxic, as they are."""
-    return docs.mapInArrow(tidied(partial(_reject, model=model, at=docs.columns.index("text"))), docs.schema)
+    """The rows of ``docs`` that the model doesn't predict toxic, as they are: a stage table."""
+    left = docs.mapInArrow(tidied(partial(_reject, model=model, at=docs.columns.index("text"))), docs.schema)
+    return keep(left, f"{shared_dir(docs.sparkSession)}/left")

@@ -31,6 +31,15 @@ def test_toxicity_stage(spark, stages):
     assert set(stages[1]) == {d for d, r in stages[0].items() if model.score(r.text) < 0.5}
 
 
+def test_rejecting_leaves_no_python_to_the_callers_write(spark):
+    """A caller's write has batches of the session's size, whatever a row weighs."""
+    model = toxicity.Model(np.zeros(0, np.int64), np.zeros(0), -1.0)
+    rows = [(k, f"text {k}" if k % 7 else None, k * 0.5) for k in range(700)]
+    kept = toxicity.reject(spark.createDataFrame(rows, "doc_id long, text string, more double").coalesce(1), model)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()
+    assert sorted(map(tuple, kept.collect())) == rows
+
+
 def test_near_duplicates_stage(stages):
     rows = sorted((d, words_of(r.text, 5)) for d, r in stages[1].items())
     up = {d: d for d, _ in rows}
